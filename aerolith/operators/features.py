@@ -2,6 +2,13 @@
 
 One lazy plan from the raw hourly readings to the 51-feature table; Spark shares the
 sort of one window ordering among all lag and rolling columns.
+
+Partitioning: the inputs are hourly grain, one row per (station, hour), because they
+come out of a ``groupBy(station, hour)`` (or a keyed store).  A station therefore has at
+most one row per hour of the time span (8,760 a year) however many raw readings
+stand behind it, so the default ``strategy="plain"`` window per station is bounded.
+Pass ``strategy="blocked"`` for a series whose rows per key are not bounded (raw
+sub-hourly readings, one very long series); it gives the same result.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ from aerolith.operators.windows import ffill, lag_and_rolling
 
 
 def clean_readings(df: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
-                   strategy: str = "blocked") -> DataFrame:
+                   strategy: str = "plain") -> DataFrame:
     """Drop hours with no reading at all, then forward fill the gaps (clean step)."""
     keys = list(keys)
     df = nan_to_null(df)
@@ -27,7 +34,7 @@ def clean_readings(df: DataFrame, keys: Sequence[str] = ("station",), time_col:
 
 
 def merge_clean(air: DataFrame, weather: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
-                strategy: str = "blocked") -> DataFrame:
+                strategy: str = "plain") -> DataFrame:
     """Cleaned air inner-joined with cleaned weather on (keys, time)."""
     return join_on_time(clean_readings(air, keys, time_col, strategy), clean_readings(weather, keys, time_col, strategy),
                         keys, time_col)
@@ -35,14 +42,14 @@ def merge_clean(air: DataFrame, weather: DataFrame, keys: Sequence[str] = ("stat
 
 def engineer(df: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
              pollutants: Sequence[str] = POLLUTANTS, lags: Sequence[int] = LAG_HOURS,
-             widths: Sequence[int] = ROLL_HOURS, strategy: str = "blocked") -> DataFrame:
+             widths: Sequence[int] = ROLL_HOURS, strategy: str = "plain") -> DataFrame:
     """Calendar, lag and rolling features on a merged hourly table (no row dropped)."""
     df = add_calendar(df, time_col)
     return lag_and_rolling(df, pollutants, lags, widths, keys, time_col, strategy=strategy)
 
 
 def build_features(air: DataFrame, weather: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
-                   strategy: str = "blocked", dropna_subset: Sequence[str] | None = None) -> DataFrame:
+                   strategy: str = "plain", dropna_subset: Sequence[str] | None = None) -> DataFrame:
     """The full historical feature table; rows with any missing value are dropped (P10)."""
     merged = merge_clean(air, weather, keys, time_col, strategy)
     return drop_any_null(engineer(merged, keys, time_col, strategy=strategy), dropna_subset)

@@ -1,6 +1,6 @@
 """Registered queries (``queries()``) and their DuckDB twins (``oracle_sql()``)."""
 
-from aerolith.plans import q_features  # noqa: F401
+from aerolith.plans import q_aqi_stats, q_features  # noqa: F401
 from aerolith.plans.registry import DESCRIPTIONS, ORACLE, QUERIES
 
 

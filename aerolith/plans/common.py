@@ -21,5 +21,7 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def quantize(c, places: int = 6):
+    """NaN and infinities pass through unchanged."""
     scale = float(10 ** places)
-    return (F.floor(c * F.lit(scale) + F.lit(0.4999)) / F.lit(scale)).cast("double")
+    q = (F.floor(c * F.lit(scale) + F.lit(0.4999)) / F.lit(scale)).cast("double")
+    return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c).otherwise(q)

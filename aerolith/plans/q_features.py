@@ -16,7 +16,7 @@ from aerolith.sources.fixtures import AIR_COLUMNS, WEATHER_RAW_COLUMNS
 _DOUBLES, _INTS = S.feature_columns()
 
 
-def feature_table(spark, sf_dir, strategy="blocked"):
+def feature_table(spark, sf_dir, strategy="plain"):
     return features.build_features(fx.air(spark, sf_dir), fx.weather(spark, sf_dir), strategy=strategy)
 
 
@@ -66,8 +66,8 @@ def drop_any_subset(spark, sf_dir):
 @query("ffill", sql=f"""{S.base_ctes(S.clean_cte('air_c', 'air', AIR_COLUMNS))}
 SELECT station, time, {S.rounded_select(AIR_COLUMNS, [])} FROM air_c""")
 def ffill(spark, sf_dir):
-    """Drop all-missing hours, then forward fill every air column per station."""
-    return round_doubles(features.clean_readings(fx.air(spark, sf_dir)))
+    """Drop all-missing hours, then forward fill every air column per station (skew-safe carry fill)."""
+    return round_doubles(features.clean_readings(fx.air(spark, sf_dir), strategy="blocked"))
 
 
 @query("calendar_features", sql=f"""{S.base_ctes()}

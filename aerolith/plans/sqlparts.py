@@ -19,8 +19,9 @@ def dbl(expr: str) -> str:
 
 def q6(expr: str) -> str:
     """Same 1e-6 grid as ``aerolith.plans.common.quantize`` (identical IEEE steps)."""
-    return (f"floor(CAST({expr} AS DOUBLE) * CAST(1000000 AS DOUBLE) + CAST(0.4999 AS DOUBLE))"
-            f" / CAST(1000000 AS DOUBLE)")
+    x = f"CAST({expr} AS DOUBLE)"
+    return (f"CASE WHEN isnan({x}) OR isinf({x}) THEN {x} ELSE "
+            f"floor({x} * CAST(1000000 AS DOUBLE) + CAST(0.4999 AS DOUBLE)) / CAST(1000000 AS DOUBLE) END")
 
 
 def r6(expr: str, alias: str) -> str:
@@ -124,6 +125,13 @@ def base_ctes(*extra: str, n_stations: int = N_STATIONS) -> str:
     return "WITH " + ",\n".join([ev_cte(n_stations), air_cte(), weather_cte(), *extra])
 
 
+def features_ctes(*extra: str) -> str:
+    """... merged, feat (all rows), feat_full (rows without any missing value)."""
+    d, i = feature_columns()
+    cond = " AND ".join(f"{c} IS NOT NULL" for c in d + i)
+    return merged_ctes(engineered_cte(), f"feat_full AS (SELECT * FROM feat WHERE {cond})", *extra)
+
+
 def merged_ctes(*extra: str) -> str:
     return base_ctes(
         clean_cte("air_c", "air", AIR_COLUMNS),

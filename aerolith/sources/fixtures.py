@@ -21,6 +21,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from aerolith.functions.timeutil import hour_floor, ntz_lit
 
@@ -47,8 +48,23 @@ WEATHER_RAW_COLUMNS = [
 ]
 
 
+EVENTS_SCHEMA = StructType([
+    StructField("event_id", LongType()),
+    StructField("ts", TimestampNTZType()),
+    StructField("user_id", LongType()),
+    StructField("event_type", StringType()),
+    StructField("value", DoubleType()),
+    StructField("props", StringType()),
+])
+SCHEMAS = {"events": EVENTS_SCHEMA}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; known schemas are given explicitly (no inference pass)."""
+    r = spark.read
+    if name in SCHEMAS:
+        r = r.schema(SCHEMAS[name])
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _events_hourly(spark: SparkSession, sf_dir: str, n_stations: int | None) -> DataFrame:
