@@ -1,7 +1,10 @@
 """US EPA air-quality index as Column expressions.
 
 All functions are pure ``CASE`` expressions built from the band tables below, so
-they run inside whole-stage codegen with no Python in the data path.
+they run inside whole-stage codegen with no Python in the data path.  They are
+assembled as Spark SQL text and parsed once (``F.expr``): a 35-band CASE built
+node by node through the Column API costs thousands of driver-to-JVM calls.
+Arguments are column names or SQL expression strings.
 
 Two modes (decision D1-D3 of the survey):
 
@@ -58,82 +61,87 @@ UNIT = {"pm2_5": None, "pm10": None, "nitrogen_dioxide": NO2_TO_PPB, "sulphur_di
         "carbon_monoxide": CO_TO_PPM}
 
 
-def _d(x) -> Column:
-    return F.lit(float(x))
+def _d(x) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
 
 
-def _linear(c: Column, band) -> Column:
-    """((I_hi - I_lo) / (C_hi - C_lo)) * (c - C_lo) + I_lo, in the reference's operation order."""
-    clo, chi, ilo, ihi = band
-    return ((_d(ihi) - _d(ilo)) / (_d(chi) - _d(clo))) * (c - _d(clo)) + _d(ilo)
+def _sql(c) -> str:
+    """SQL text of a column argument: a name (quoted) or an expression string."""
+    if isinstance(c, Column):
+        raise TypeError("pass a column name or a SQL expression string")
+    return c if not c.isidentifier() else f"`{c}`"
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _linear(c: str, band) -> str:
+    """((I_hi - I_lo) / (C_hi - C_lo)) * (c - C_lo) + I_lo, in the reference's operation order."""
+    clo, chi, ilo, ihi = band
+    return f"(({_d(ihi)} - {_d(ilo)}) / ({_d(chi)} - {_d(clo)})) * ({c} - {_d(clo)}) + {_d(ilo)}"
 
 
-def subindex(c, bands, mode: str = "reference", precision: float | None = None) -> Column:
-    """Sub-index of concentration ``c`` for ``bands`` (F9), as bigint."""
-    c = _col(c).cast("double")
-    if mode == "epa":
-        step = precision or 1.0
-        c = F.floor(c / _d(step)) * _d(step)
-    expr = None
-    for band in bands:
-        cond = (c >= _d(band[0])) & (c <= _d(band[1]))
-        expr = F.when(cond, _linear(c, band)) if expr is None else expr.when(cond, _linear(c, band))
-    value = expr.otherwise(_linear(c, bands[-1]))
-    out = F.bround(value, 0).cast("bigint")
+def subindex_sql(c, bands, mode: str = "reference", precision: float | None = None) -> str:
+    """Sub-index of concentration ``c`` for ``bands`` (F9) as a SQL CASE expression (bigint)."""
+    c = f"CAST({_sql(c)} AS DOUBLE)"
     if mode == "epa":
-        out = F.when(c >= _d(0), out)
+        step = _d(precision or 1.0)
+        c = f"(floor({c} / {step}) * {step})"
     elif mode != "reference":
         raise ValueError(f"unknown mode {mode!r}")
-    return F.when(c.isNotNull(), out)
+    whens = " ".join(f"WHEN {c} >= {_d(b[0])} AND {c} <= {_d(b[1])} THEN {_linear(c, b)}" for b in bands)
+    out = f"CAST(bround(CASE {whens} ELSE {_linear(c, bands[-1])} END, 0) AS BIGINT)"
+    if mode == "epa":
+        out = f"CASE WHEN {c} >= {_d(0)} THEN {out} END"
+    return f"CASE WHEN {c} IS NOT NULL THEN {out} END"
+
+
+def subindex(c, bands, mode: str = "reference", precision: float | None = None) -> Column:
+    return F.expr(subindex_sql(c, bands, mode, precision))
 
 
-def to_index_units(pollutant: str, c) -> Column:
+def to_index_units_sql(pollutant: str, c) -> str:
     """Concentration in ug/m3 -> the unit of the pollutant's bands (F8)."""
     factor = UNIT[pollutant]
-    return _col(c) if factor is None else _col(c) * _d(factor)
+    return _sql(c) if factor is None else f"({_sql(c)} * {_d(factor)})"
 
 
-def pollutant_subindex(pollutant: str, c=None, mode: str = "reference") -> Column:
+def pollutant_subindex_sql(pollutant: str, c=None, mode: str = "reference") -> str:
     c = pollutant if c is None else c
-    return subindex(to_index_units(pollutant, c), BANDS[pollutant], mode, EPA_PRECISION[pollutant])
+    return subindex_sql(to_index_units_sql(pollutant, c), BANDS[pollutant], mode, EPA_PRECISION[pollutant])
+
+
+def pollutant_subindex(pollutant: str, c=None, mode: str = "reference") -> Column:
+    return F.expr(pollutant_subindex_sql(pollutant, c, mode))
+
+
+def overall_aqi_sql(pm25="pm2_5", pm10="pm10", no2="nitrogen_dioxide", so2="sulphur_dioxide",
+                    co="carbon_monoxide", mode: str = "reference") -> str:
+    cols = [pm25, pm10, no2, so2, co]
+    parts = [pollutant_subindex_sql(p, c, mode) for p, c in
+             zip(["pm2_5", "pm10", "nitrogen_dioxide", "sulphur_dioxide", "carbon_monoxide"], cols)]
+    any_null = " OR ".join(f"{_sql(c)} IS NULL" for c in cols)
+    return f"CASE WHEN {any_null} THEN NULL ELSE greatest({', '.join(parts)}) END"
 
 
 def overall_aqi(pm25="pm2_5", pm10="pm10", no2="nitrogen_dioxide", so2="sulphur_dioxide", co="carbon_monoxide",
                 mode: str = "reference") -> Column:
     """Overall index = max of the five sub-indices (F11); NULL if any input is NULL."""
-    parts = [pollutant_subindex(p, c, mode) for p, c in
-             zip(["pm2_5", "pm10", "nitrogen_dioxide", "sulphur_dioxide", "carbon_monoxide"],
-                 [pm25, pm10, no2, so2, co])]
-    any_null = None
-    for p in parts:
-        any_null = p.isNull() if any_null is None else (any_null | p.isNull())
-    return F.when(~any_null, F.greatest(*parts))
+    return F.expr(overall_aqi_sql(pm25, pm10, no2, so2, co, mode))
 
 
 def pm25_forecast_index(c="pm2_5") -> Column:
     """Forecast index from PM2.5 (F12): 6 bands, everything else (gaps, negatives, NULL) 500."""
-    c = _col(c).cast("double")
-    expr = None
-    for band in PM25_FORECAST_BANDS:
-        cond = (c >= _d(band[0])) & (c <= _d(band[1]))
-        v = F.bround(_linear(c, band), 0).cast("bigint")
-        expr = F.when(cond, v) if expr is None else expr.when(cond, v)
-    return expr.otherwise(F.lit(FORECAST_OUTSIDE).cast("bigint"))
+    c = f"CAST({_sql(c)} AS DOUBLE)"
+    whens = " ".join(f"WHEN {c} >= {_d(b[0])} AND {c} <= {_d(b[1])} THEN CAST(bround({_linear(c, b)}, 0) AS BIGINT)"
+                     for b in PM25_FORECAST_BANDS)
+    return F.expr(f"CASE {whens} ELSE CAST({FORECAST_OUTSIDE} AS BIGINT) END")
 
 
 def status(aqi) -> Column:
     """Status label (F13); NULL falls through to the last label as in the reference."""
-    a = _col(aqi).cast("double")
-    expr = None
-    for bound, label in STATUS_LEVELS:
-        expr = F.when(a <= _d(bound), label) if expr is None else expr.when(a <= _d(bound), label)
-    return expr.otherwise(STATUS_ABOVE)
+    a = f"CAST({_sql(aqi)} AS DOUBLE)"
+    whens = " ".join(f"WHEN {a} <= {_d(b)} THEN '{label}'" for b, label in STATUS_LEVELS)
+    return F.expr(f"CASE {whens} ELSE '{STATUS_ABOVE}' END")
 
 
 def is_alert(aqi, threshold: float = ALERT_THRESHOLD) -> Column:
     """AQI above the alert threshold."""
-    return _col(aqi).cast("double") > _d(threshold)
+    return F.expr(f"CAST({_sql(aqi)} AS DOUBLE) > {_d(threshold)}")

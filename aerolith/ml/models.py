@@ -92,7 +92,7 @@ def fit(train: DataFrame, kind: str = "linear", features: Sequence[str] | None =
 def score_forecast(model: MultiOutputModel, future_features: DataFrame) -> DataFrame:
     """M5 + F12: predictions for the future hours with the PM2.5 forecast index."""
     p = model.transform(future_features)
-    return p.withColumn("us_epa_aqi", pm25_forecast_index(F.col("pred_pm2_5")))
+    return p.withColumn("us_epa_aqi", pm25_forecast_index("pred_pm2_5"))
 
 
 def linear_coefficients(model: MultiOutputModel) -> tuple[dict, dict]:

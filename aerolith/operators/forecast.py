@@ -48,27 +48,29 @@ def _union(history: DataFrame, future: DataFrame, keys, time_col, pollutants) ->
     return u.withColumn(_T, epoch_micros(time_col)), fcols
 
 
-def asof_lag_columns(w, pollutants: Sequence[str] = POLLUTANTS, lags: Sequence[int] = LAG_HOURS) -> dict:
-    """J3 as range frames: last history struct in (-inf, t - k h]."""
+def asof_lag_columns(w: str, pollutants: Sequence[str] = POLLUTANTS, lags: Sequence[int] = LAG_HOURS) -> dict:
+    """J3 as range frames: last history struct in (-inf, t - k h] (SQL text, one JVM call per column)."""
     out = {}
+    fields = ", ".join(f"`{p}`" for p in pollutants)
     for k in lags:
-        frame = w.rangeBetween(Window.unboundedPreceding, -k * HOUR_US)
-        last = F.last(F.when(F.col(_H), F.struct(*[F.col(p) for p in pollutants])), ignorenulls=True).over(frame)
+        frame = f"OVER ({w} RANGE BETWEEN UNBOUNDED PRECEDING AND {k * HOUR_US} PRECEDING)"
+        last = f"last(CASE WHEN {_H} THEN struct({fields}) END, true) {frame}"
         for p in pollutants:
-            out[f"{p}_lag_{k}h"] = last.getField(p)
+            out[f"{p}_lag_{k}h"] = F.expr(f"({last}).`{p}`")
     return out
 
 
-def interval_stat_columns(w, pollutants: Sequence[str] = POLLUTANTS, widths: Sequence[int] = ROLL_HOURS) -> dict:
+def interval_stat_columns(w: str, pollutants: Sequence[str] = POLLUTANTS, widths: Sequence[int] = ROLL_HOURS) -> dict:
     """Mean and std over history rows in [t - n h, t)."""
     out = {}
     for p in pollutants:
         for n in widths:
-            frame = w.rangeBetween(-n * HOUR_US, -1)
-            v = F.when(F.col(_H), F.col(p))
-            rows = F.count(F.when(F.col(_H), F.lit(1))).over(frame)
-            out[f"{p}_roll_mean_{n}h"] = F.avg(v).over(frame)
-            out[f"{p}_roll_std_{n}h"] = F.when(rows > 1, F.stddev_samp(v).over(frame)).otherwise(F.lit(0.0))
+            frame = f"OVER ({w} RANGE BETWEEN {n * HOUR_US} PRECEDING AND 1 PRECEDING)"
+            v = f"CASE WHEN {_H} THEN `{p}` END"
+            rows = f"count(CASE WHEN {_H} THEN 1 END) {frame}"
+            out[f"{p}_roll_mean_{n}h"] = F.expr(f"avg({v}) {frame}")
+            out[f"{p}_roll_std_{n}h"] = F.expr(
+                f"CASE WHEN {rows} > 1 THEN stddev_samp({v}) {frame} ELSE CAST(0 AS DOUBLE) END")
     return out
 
 
@@ -80,7 +82,7 @@ def forecast_features(history: DataFrame, future: DataFrame, keys: Sequence[str]
     """Feature rows for the ``future`` hours from the ``history`` rows (already tailed)."""
     keys = list(keys)
     u, fcols = _union(history, future, keys, time_col, pollutants)
-    w = Window.partitionBy(*keys).orderBy(_T)
+    w = (f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} " if keys else "") + f"ORDER BY {_T}"
     cols = {}
     if include_lags:
         cols.update(asof_lag_columns(w, pollutants, lags))

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.functions.timeutil import DAY_US, epoch_micros
@@ -74,12 +74,13 @@ def with_series_rank(df: DataFrame, keys: Sequence[str], time_col: str = "time",
     return joined.withColumn(rank_col, (F.col("__off") + local).cast("bigint")).drop("__off", _TB)
 
 
-def halo_window(df: DataFrame, keys: Sequence[str], build: Callable[[WindowSpec], dict[str, Column]],
+def halo_window(df: DataFrame, keys: Sequence[str], build: Callable[[str], dict[str, Column]],
                 reach: int, time_col: str = "time", tiebreak: Sequence[str] = (),
                 block_rows: int = DEFAULT_BLOCK_ROWS, block_us: int = DEFAULT_TIME_BLOCK_US) -> DataFrame:
     """R2: evaluate ``build(window)`` (row frames reaching <= ``reach`` rows back) per key.
 
-    ``build`` receives a window spec ordered by position and returns new columns.
+    ``build`` receives the SQL window clause body (``PARTITION BY ... ORDER BY ...``)
+    of the position order and returns the new columns.
     """
     keys = list(keys)
     b = max(int(block_rows), int(reach), 1)
@@ -90,8 +91,8 @@ def halo_window(df: DataFrame, keys: Sequence[str], build: Callable[[WindowSpec]
         halo = (ranked.where(((F.col(_RANK) - 1) % F.lit(b)) >= F.lit(b - reach))
                 .withColumn(_RB, F.col(_RB) + 1).withColumn(_HALO, F.lit(True)))
         own = own.unionByName(halo)
-    w = Window.partitionBy(*keys, _RB).orderBy(_RANK)
-    out = own.withColumns(build(w))
+    part = ", ".join(f"`{k}`" for k in [*keys, _RB])
+    out = own.withColumns(build(f"PARTITION BY {part} ORDER BY `{_RANK}`"))
     return out.where(~F.col(_HALO)).drop(_RANK, _RB, _HALO)
 
 
