@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.config import POLLUTANTS, TEST_RATIO
-from aerolith.functions.aqi import overall_aqi
+from aerolith.functions.aqi import overall_aqi, overall_aqi_sql
+from aerolith.operators.stats import _lit, inline_sql
 
 
 def chrono_split(df: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
@@ -43,9 +44,8 @@ def _ratio(x: float) -> tuple[int, int]:
 def unpivot_predictions(df: DataFrame, targets: Sequence[str] = POLLUTANTS, pred_prefix: str = "pred_",
                         keep: Sequence[str] = ("station", "time")) -> DataFrame:
     """(keep..., target, actual, predicted) with one row per target."""
-    return df.select(*keep, F.inline(F.array(*[
-        F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias("actual"),
-                 F.col(f"{pred_prefix}{t}").cast("double").alias("predicted")) for t in targets])))
+    return df.select(*keep, inline_sql([[(_lit(t), "target"), (f"CAST(`{t}` AS DOUBLE)", "actual"),
+                                          (f"CAST(`{pred_prefix}{t}` AS DOUBLE)", "predicted")] for t in targets]))
 
 
 def r2_expr(ss_res, ss_tot):
@@ -99,20 +99,18 @@ def summaries(df: DataFrame, models: dict[str, str], targets: Sequence[str] = PO
     by one generator; one aggregation per (model, target) and one per model follow,
     so the input plan runs once however many models are compared.
     """
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(m).alias("model_name"), F.lit(t).alias("target"), F.col(t).cast("double").alias("actual"),
-                 F.col(f"{pre}{t}").cast("double").alias("predicted"))
-        for m, pre in models.items() for t in targets])))
+    long = df.select(inline_sql([[(_lit(m), "model_name"), (_lit(t), "target"), (f"CAST(`{t}` AS DOUBLE)", "actual"),
+                                  (f"CAST(`{pre}{t}` AS DOUBLE)", "predicted")]
+                                 for m, pre in models.items() for t in targets]))
     err = F.col("actual") - F.col("predicted")
     per_target = long.groupBy("model_name", "target").agg(
         F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"),
         r2_expr(F.sum(err * err), F.var_pop("actual") * F.count(F.lit(1))).alias("r2"))
     avg = per_target.groupBy("model_name").agg(*[F.avg(c).alias(c) for c in ("mae", "rmse", "r2")])
-    truth = overall_aqi()
-    aqi_long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(m).alias("model_name"),
-                 F.abs(truth - overall_aqi(*[f"{pre}{p}" for p in POLLUTANTS])).cast("double").alias("__e"))
-        for m, pre in models.items()])))
+    truth = overall_aqi_sql()
+    aqi_long = df.select(inline_sql([[(_lit(m), "model_name"), (
+        f"CAST(abs(({truth}) - ({overall_aqi_sql(*[f'{pre}{p}' for p in POLLUTANTS])})) AS DOUBLE)", "__e")]
+        for m, pre in models.items()]))
     aqi = aqi_long.groupBy("model_name").agg(F.avg("__e").alias("aqi_mae"))
     return avg.join(aqi, "model_name").select(
         "model_name", *[F.bround(c, places).alias(c) for c in ("mae", "rmse", "r2", "aqi_mae")])

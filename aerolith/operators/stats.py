@@ -20,6 +20,19 @@ from pyspark.sql import functions as F
 _Q = [0.25, 0.5, 0.75]
 
 
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def inline_sql(rows: list[list[tuple[str, str]]]) -> "Column":
+    """``inline(array(struct(...), ...))`` from SQL text: one JVM call for the whole unpivot.
+
+    ``rows`` is a list of structs, each a list of (SQL expression, field name).
+    """
+    structs = ", ".join("struct(" + ", ".join(f"{e} AS `{n}`" for e, n in r) + ")" for r in rows)
+    return F.expr(f"inline(array({structs}))")
+
+
 def attach_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join a one-row-per-group stats table back onto the rows of each group.
 
@@ -54,22 +67,19 @@ def _quantiles(c: str, approx: bool) -> Column:
 
 
 def describe(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), approx: bool = False) -> DataFrame:
-    """``DataFrame.describe()`` (A1, A2) in long form: keys, column, count, mean, std, min, p25, p50, p75, max."""
+    """``DataFrame.describe()`` (A1, A2) in long form: keys, column, count, mean, std, min, p25, p50, p75, max.
+
+    Columns are unpivoted by a generator and aggregated per (keys, column): one small
+    aggregate plan whatever the number of columns.
+    """
     keys = list(keys)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c)
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}"),
-                 _quantiles(c, approx).alias(f"q{i}")]
-    wide = df.groupBy(*keys).agg(*aggs)
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                 F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                 F.col(f"q{i}")[0].cast("double").alias("p25"), F.col(f"q{i}")[1].cast("double").alias("p50"),
-                 F.col(f"q{i}")[2].cast("double").alias("p75"), F.col(f"hi{i}").alias("max"))
-        for i, c in enumerate(cols)])
-    return wide.select(*keys, F.inline(rows))
+    long = df.select(*keys, inline_sql([[(_lit(c), "column"), (f"CAST(`{c}` AS DOUBLE)", "x")] for c in cols]))
+    q = _quantiles("x", approx)
+    out = long.groupBy(*keys, "column").agg(
+        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"), q.alias("__q"), F.max("x").alias("max"))
+    return out.select(*keys, "column", "count", "mean", "std", "min",
+                      *[F.col("__q")[i].cast("double").alias(n) for i, n in enumerate(["p25", "p50", "p75"])], "max")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -82,9 +92,8 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) ->
     keys = list(keys)
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    long = df.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"),
-                 F.col(b).cast("double").alias("y")) for a, b in pairs])))
+    long = df.select(*keys, inline_sql([[(_lit(a), "a"), (_lit(b), "b"), (f"CAST(`{a}` AS DOUBLE)", "x"),
+                                          (f"CAST(`{b}` AS DOUBLE)", "y")] for a, b in pairs]))
     tri = long.groupBy(*keys, "a", "b").agg(pearson("x", "y").alias("r"))
     mirror = tri.where(F.col("a") != F.col("b")).select(*keys, F.col("b").alias("a"), F.col("a").alias("b"), "r")
     return tri.unionByName(mirror)
@@ -96,9 +105,8 @@ def corr_with_target(df: DataFrame, features: Sequence[str], target: str, keys:
     NaN (a constant feature) ranks last, as pandas ``sort_values`` puts it.
     """
     keys = list(keys)
-    pairs = df.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x"),
-                 F.col(target).cast("double").alias("y")) for f in features])))
+    pairs = df.select(*keys, inline_sql([[(_lit(f), "feature"), (f"CAST(`{f}` AS DOUBLE)", "x"),
+                                           (f"CAST(`{target}` AS DOUBLE)", "y")] for f in features]))
     long = pairs.groupBy(*keys, "feature").agg(pearson("x", "y").alias("r"))
     missing = F.col("r").isNull() | F.isnan(F.col("r"))
     w = Window.partitionBy(*keys).orderBy(missing.asc(), F.col("r").desc(), F.col("feature").asc())
