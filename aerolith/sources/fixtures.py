@@ -86,29 +86,47 @@ def _mean_cents(cond=None):
     return F.try_divide(F.sum(c).cast("double"), (n * 100).cast("double"))
 
 
-def air(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS, as_of: datetime = AS_OF) -> DataFrame:
-    """Hourly pollutant readings per station before ``as_of``."""
-    ev = _events_hourly(spark, sf_dir, n_stations).where(F.col("ts") < ntz_lit(as_of))
-    aggs = {pol: _mean_cents(F.col("event_type") == t).alias(pol) for t, pol in TYPE_TO_POLLUTANT.items()}
+def hourly_readings(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS,
+                    as_of: datetime = AS_OF) -> DataFrame:
+    """Air and weather aggregates of every (station, hour) in ONE pass over ``events``.
+
+    Conditional aggregates keep the two definitions apart (air: events before
+    ``as_of``; weather: events other than ``error``), so a query that needs both tables
+    scans and shuffles ``events`` once; Spark reuses the exchange for both branches.
+    """
+    ev = _events_hourly(spark, sf_dir, n_stations)
+    is_air = F.col("ts") < ntz_lit(as_of)
+    is_w = F.col("event_type") != "error"
+    wk = F.when(is_w, F.col("k"))
+    wc = F.when(is_w, F.col("c"))
+    nw = F.count_if(is_w)
+    air_cols = {pol: _mean_cents(is_air & (F.col("event_type") == t)) for t, pol in TYPE_TO_POLLUTANT.items()}
     return ev.groupBy("station", "time").agg(
-        aggs["pm10"], aggs["pm2_5"], aggs["carbon_monoxide"], aggs["nitrogen_dioxide"],
-        aggs["sulphur_dioxide"], _mean_cents().alias("us_aqi"),
+        F.count_if(is_air).alias("__n_air"),
+        *[air_cols[c].alias(c) for c in AIR_COLUMNS if c != "us_aqi"],
+        _mean_cents(is_air).alias("us_aqi"),
+        nw.alias("__n_weather"),
+        _mean_cents(is_w).alias("temperature_2m"),
+        (F.sum(wk).cast("double") / nw.cast("double")).alias("relative_humidity_2m"),
+        ((F.max(wc) - F.min(wc)).cast("double") / F.lit(100.0)).alias("precipitation"),
+        (F.lit(1000.0) + F.min(wk).cast("double")).alias("surface_pressure"),
+        nw.cast("double").alias("wind_speed_10m"),
+        (F.sum(wk) % 360).cast("double").alias("wind_direction_10m"),
+        F.max(wk).cast("double").alias("cloud_cover"),
     )
 
 
-def weather(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS) -> DataFrame:
+def air(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS, as_of: datetime = AS_OF) -> DataFrame:
+    """Hourly pollutant readings per station before ``as_of``."""
+    h = hourly_readings(spark, sf_dir, n_stations, as_of)
+    return h.where(F.col("__n_air") > 0).select("station", "time", *AIR_COLUMNS)
+
+
+def weather(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS,
+            as_of: datetime = AS_OF) -> DataFrame:
     """Hourly weather readings per station, past and forecast hours."""
-    ev = _events_hourly(spark, sf_dir, n_stations).where(F.col("event_type") != "error")
-    n = F.count(F.lit(1))
-    return ev.groupBy("station", "time").agg(
-        _mean_cents().alias("temperature_2m"),
-        (F.sum("k").cast("double") / n.cast("double")).alias("relative_humidity_2m"),
-        ((F.max("c") - F.min("c")).cast("double") / F.lit(100.0)).alias("precipitation"),
-        (F.lit(1000.0) + F.min("k").cast("double")).alias("surface_pressure"),
-        n.cast("double").alias("wind_speed_10m"),
-        (F.sum("k") % 360).cast("double").alias("wind_direction_10m"),
-        F.max("k").cast("double").alias("cloud_cover"),
-    )
+    h = hourly_readings(spark, sf_dir, n_stations, as_of)
+    return h.where(F.col("__n_weather") > 0).select("station", "time", *WEATHER_RAW_COLUMNS)
 
 
 def future_weather(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS,
@@ -116,4 +134,5 @@ def future_weather(spark: SparkSession, sf_dir: str, n_stations: int | None = N_
     """Weather hours that have no air row (the forecast part, J2)."""
     from aerolith.operators.joins import anti_join_time
 
-    return anti_join_time(weather(spark, sf_dir, n_stations), air(spark, sf_dir, n_stations, as_of), ["station"])
+    return anti_join_time(weather(spark, sf_dir, n_stations, as_of), air(spark, sf_dir, n_stations, as_of),
+                          ["station"])
