@@ -40,17 +40,27 @@ def hourly_rollup(df: DataFrame, keys: Sequence[str], time_col: str, aggs: dict)
                     *aggs.keys())
 
 
+def _event_time(df: DataFrame, time_col: str) -> DataFrame:
+    """Watermarks need a TIMESTAMP event time; hourly tables carry timestamp_ntz (UTC wall
+    clock).  Cast for the stateful operator (session zone UTC, see ``get_session``)."""
+    if df.schema[time_col].dataType.typeName() == "timestamp_ntz":
+        return df.withColumn(time_col, F.col(time_col).cast("timestamp"))
+    return df
+
+
 def with_lateness(df: DataFrame, keys: Sequence[str], time_col: str, delay: str) -> DataFrame:
     """T3 lateness option: accept rows up to ``delay`` late, drop duplicates of (keys, time) within it."""
-    return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([*keys, time_col])
+    return _event_time(df, time_col).withWatermark(time_col, delay).dropDuplicatesWithinWatermark([*keys, time_col])
 
 
 def join_streams(air: DataFrame, weather: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
                  delay: str = "2 hours") -> DataFrame:
     """T4: inner join of two watermarked streams on (keys, time); state is bounded by the watermark."""
-    a = air.withWatermark(time_col, delay)
-    w = weather.withWatermark(time_col, delay)
-    return a.join(w, [*keys, time_col], "inner")
+    ntz = air.schema[time_col].dataType.typeName() == "timestamp_ntz"
+    a = _event_time(air, time_col).withWatermark(time_col, delay)
+    w = _event_time(weather, time_col).withWatermark(time_col, delay)
+    j = a.join(w, [*keys, time_col], "inner")
+    return j.withColumn(time_col, F.col(time_col).cast("timestamp_ntz")) if ntz else j
 
 
 def alert_stream(scored: DataFrame, aqi_col: str = "us_epa_aqi", threshold: float = A.ALERT_THRESHOLD) -> DataFrame:

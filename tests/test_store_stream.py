@@ -76,3 +76,26 @@ def test_driver_contract(spark):
     assert df.count() >= 0 and "pm2_5_lag_24h" in df.columns
     qs, sql = m.queries(), m.oracle_sql()
     assert set(sql) <= set(qs) and len(qs) >= 50
+
+
+def test_stream_join_and_alerts_equal_batch(spark):
+    """T4 stream-stream join on (station, hour) and T6 alert filter equal their batch results."""
+    from aerolith.functions import aqi as A
+
+    root = scratch_path(spark, "t-join")
+    a = fx.air(spark, SF_SMALL).select("station", "time", "pm2_5", "pm10")
+    w = fx.weather(spark, SF_SMALL).select("station", "time", "temperature_2m")
+    a.write.parquet(f"{root}/air")
+    w.write.parquet(f"{root}/weather")
+    sa = spark.readStream.schema(a.schema).parquet(f"{root}/air")
+    sw = spark.readStream.schema(w.schema).parquet(f"{root}/weather")
+    joined = I.join_streams(sa, sw, delay="3 hours")
+    scored = joined.withColumn("us_epa_aqi", A.pm25_forecast_index("pm2_5"))
+    name = f"alerts_{uuid.uuid4().hex[:8]}"
+    q = (I.alert_stream(scored).writeStream.format("memory").queryName(name).outputMode("append")
+         .trigger(availableNow=True).option("checkpointLocation", f"{root}/ckpt").start())
+    q.awaitTermination()
+    got = sorted(spark.table(name).select("station", "time").collect())
+    batch = a.join(w, ["station", "time"]).withColumn("us_epa_aqi", A.pm25_forecast_index("pm2_5"))
+    want = sorted(I.alert_stream(batch).select("station", "time").collect())
+    assert got == want and len(want) > 0
