@@ -140,3 +140,18 @@ def local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+
+
+def write_run_metadata(runs: DataFrame, best: DataFrame, path: str, features, targets, train_rows: DataFrame) -> None:
+    """One JSON record with the best model, its metrics, the feature and target lists
+    and the number of training rows (a one-row DataFrame written with ``write.json``)."""
+    meta = (best.select("model_name", F.struct("mae", "rmse", "r2", "aqi_mae").alias("metrics"))
+            .withColumn("__g", F.lit(0))
+            .join(F.broadcast(train_rows.agg(F.count(F.lit(1)).alias("train_samples")).withColumn("__g", F.lit(0))),
+                  "__g")
+            .drop("__g")
+            .withColumn("features", F.array(*[F.lit(f) for f in features]))
+            .withColumn("targets", F.array(*[F.lit(t) for t in targets]))
+            .withColumn("trained_at", F.current_timestamp()))
+    meta.coalesce(1).write.mode("overwrite").json(path)
+    runs.write.mode("overwrite").json(f"{path.rstrip('/')}_all_results")
