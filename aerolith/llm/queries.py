@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from aerolith.llm import op2_warc, op3_urlfilter
+from aerolith.llm import op2_warc, op3_urlfilter, op4_extract, op6_shard, op8_mix
 
 QUERIES = {
     "op2_warc_bundles": op2_warc.query,
     "op3_url_filter": op3_urlfilter.query,
+    "op4_main_text": op4_extract.query,
+    "op6_extendible_shards": op6_shard.query,
+    "op8_fair_mix": op8_mix.query,
 }
 
 ORACLE = {
     "op2_warc_bundles": op2_warc.SQL,
     "op3_url_filter": op3_urlfilter.SQL,
+    "op6_extendible_shards": op6_shard.SQL,
+    "op8_fair_mix": op8_mix.SQL,
 }
