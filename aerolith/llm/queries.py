@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from aerolith.llm import op2_warc, op3_urlfilter, op4_extract, op6_shard, op8_mix
+from aerolith.llm import op2_warc, op3_urlfilter, op4_extract, op5_topk, op6_shard, op8_mix
 
 QUERIES = {
     "op2_warc_bundles": op2_warc.query,
     "op3_url_filter": op3_urlfilter.query,
     "op4_main_text": op4_extract.query,
+    "op5_nra_topk": op5_topk.query,
     "op6_extendible_shards": op6_shard.query,
     "op8_fair_mix": op8_mix.query,
 }
@@ -15,6 +16,7 @@ QUERIES = {
 ORACLE = {
     "op2_warc_bundles": op2_warc.SQL,
     "op3_url_filter": op3_urlfilter.SQL,
+    "op5_nra_topk": op5_topk.SQL,
     "op6_extendible_shards": op6_shard.SQL,
     "op8_fair_mix": op8_mix.SQL,
 }
