@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-from aerolith.llm import op2_warc, op3_urlfilter, op4_extract, op5_topk, op6_shard, op8_mix
+from aerolith.llm import (
+    op1_toxicity,
+    op2_warc,
+    op3_urlfilter,
+    op4_extract,
+    op5_topk,
+    op6_shard,
+    op7_decontaminate,
+    op8_mix,
+)
 
 QUERIES = {
+    "op1_fm_toxicity": op1_toxicity.query,
     "op2_warc_bundles": op2_warc.query,
     "op3_url_filter": op3_urlfilter.query,
     "op4_main_text": op4_extract.query,
     "op5_nra_topk": op5_topk.query,
     "op6_extendible_shards": op6_shard.query,
+    "op7_spaced_seed_leaks": op7_decontaminate.query,
     "op8_fair_mix": op8_mix.query,
 }
 

@@ -106,3 +106,17 @@ def sliding(h: np.ndarray, size: int, op=np.minimum) -> np.ndarray:
         span *= 2
     n = len(h) - size + 1
     return op(level[:n], level[size - span : size - span + n])
+
+
+def pieces(texts: list, limit: int = 1 << 21):
+    """(start, end) of runs of texts with at most ``limit`` characters together (one text at least), so that the
+    arrays of ``Words`` stay small whatever the batch holds."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if size + n > limit and i > start:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield start, len(texts)
