@@ -11,6 +11,7 @@ from aerolith.llm import (
     op6_shard,
     op7_decontaminate,
     op8_mix,
+    op10_repeats,
 )
 
 QUERIES = {
@@ -22,6 +23,7 @@ QUERIES = {
     "op6_extendible_shards": op6_shard.query,
     "op7_spaced_seed_leaks": op7_decontaminate.query,
     "op8_fair_mix": op8_mix.query,
+    "op10_suffix_repeats": op10_repeats.query,
 }
 
 ORACLE = {

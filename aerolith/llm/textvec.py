@@ -120,3 +120,25 @@ def pieces(texts: list, limit: int = 1 << 21):
         size += n
     if start < len(texts):
         yield start, len(texts)
+
+
+def hashed(texts: list, kind: str = "alnum", lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of all texts, and where each text's words begin (and the last one's end)."""
+    parts, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for start, end in pieces(texts, 1 << 20):
+        words = Words(texts[start:end], kind, lower)
+        parts.append(words.hash)
+        counts.append(np.diff(words.first))
+    return np.concatenate(parts), np.cumsum(np.concatenate(counts))
+
+
+def member(values: np.ndarray, keys: np.ndarray, bits: int = 20) -> np.ndarray:
+    """Which of ``values`` are in the sorted ``keys``: a bit table first, then a search for those that pass."""
+    out = np.zeros(len(values), bool)
+    if len(keys) and len(values):
+        passes = np.zeros(1 << bits, bool)
+        passes[keys >> U(64 - bits)] = True
+        at = np.flatnonzero(passes[values >> U(64 - bits)])
+        found = np.searchsorted(keys, values[at])
+        out[at] = keys[np.minimum(found, len(keys) - 1)] == values[at]
+    return out
