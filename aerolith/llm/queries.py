@@ -11,6 +11,7 @@ from aerolith.llm import (
     op6_shard,
     op7_decontaminate,
     op8_mix,
+    op9_orderminhash,
     op10_repeats,
 )
 
@@ -23,6 +24,7 @@ QUERIES = {
     "op6_extendible_shards": op6_shard.query,
     "op7_spaced_seed_leaks": op7_decontaminate.query,
     "op8_fair_mix": op8_mix.query,
+    "op9_order_minhash": op9_orderminhash.query,
     "op10_suffix_repeats": op10_repeats.query,
 }
 
