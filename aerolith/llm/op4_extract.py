@@ -7,9 +7,10 @@
    Leaving or entering a container leaves empty lines, as its markup would.
 2. Sum text lengths (link text does not count) over windows of ``WINDOW`` lines.
 3. A surge is where the sum rises from zero, a dive where it falls back to zero; between them lies
-   a run of text.  The run with the most text is the main text; runs in the same ``article`` (or
-   ``main``) element belong to it, other runs count only where no such element holds the largest run.
-4. Keep every line between the first surge and the last dive of the runs kept, in page order.
+   a run of text.  Runs belong to the ``article`` (or ``main``) element with the most text; on pages without one, to
+   the innermost container that holds ``MOST`` of the page's text; where that is the page itself, to the stretch from
+   the first to the last run with a tenth of the text of the largest.
+4. Keep every line between the first surge and the last dive of these runs, in page order.
 
 Defined results: null or empty html, or html without prose, gives an empty text and 0; each repeated
 row gives a result of its own; unclosed elements end with their parent; a truncated tag at the
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from aerolith.llm.common import table
 
 WINDOW = 3
+MOST = 0.8
 
 # Element names of the HTML standard by their role here.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
@@ -75,12 +77,16 @@ def _is_other(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def to_lines(page: str) -> tuple[list[str], list[int], list[int]]:
-    """The page's lines (empty ones mark container borders), the length of link text in each, and the
-    number of the outermost article or main element each lies in (0: none)."""
+def to_lines(page: str) -> tuple[list[str], list[int], list[int], list[int], list[int]]:
+    """The page's lines (empty ones mark container borders); for each the length of its link text, the number of the
+    outermost article or main element it lies in (0: none) and the number of its innermost container; and
+    each container's parent (container 0 is the page)."""
     lines: list[str] = []
     links: list[int] = []
     homes: list[int] = []
+    boxes: list[int] = []
+    parents = [0]
+    box = 0
     text: list[str] = []
     link = 0  # link text in this line
     stack: list[str] = []
@@ -96,12 +102,14 @@ def to_lines(page: str) -> tuple[list[str], list[int], list[int]]:
             lines.append(line)
             links.append(link)
             homes.append(home)
+            boxes.append(box)
         link = 0
         if border and lines and lines[-1]:
             for _ in range(WINDOW):
                 lines.append("")
                 links.append(0)
                 homes.append(home)
+                boxes.append(box)
 
     def add(piece: str) -> None:
         nonlocal link
@@ -110,7 +118,7 @@ def to_lines(page: str) -> tuple[list[str], list[int], list[int]]:
             link += len(piece)
 
     def pop_to(depth: int) -> None:
-        nonlocal dropped_at, home, depth_of_home
+        nonlocal dropped_at, home, depth_of_home, box
         while len(stack) > depth:
             name = stack.pop()
             if dropped_at == len(stack):
@@ -118,6 +126,8 @@ def to_lines(page: str) -> tuple[list[str], list[int], list[int]]:
                 text.append(" ")
             elif dropped_at < 0 and name in BLOCK:
                 end_line(name in CONTAINER)
+                if name in CONTAINER:
+                    box = parents[box]
             if depth_of_home == len(stack):
                 end_line(True)
                 home, depth_of_home = 0, -1
@@ -163,16 +173,35 @@ def to_lines(page: str) -> tuple[list[str], list[int], list[int]]:
                 text.append(" ")
             if _is_other(name, found[3], home > 0):
                 dropped_at = len(stack)
-            elif name in {"article", "main"} and not home:
+            elif name in CONTAINER:
+                parents.append(box)
+                box = len(parents) - 1
+            if dropped_at < 0 and name in {"article", "main"} and not home:
                 n_homes += 1
                 home, depth_of_home = n_homes, len(stack)
         stack.append(name)
     pop_to(0)
     end_line(False)
-    return lines, links, homes
+    return lines, links, homes, boxes, parents
 
 
-def main_lines(lines: list[str], links: list[int], homes: list[int]) -> list[str]:
+def main_box(lengths: np.ndarray, boxes: list[int], parents: list[int]) -> set[int]:
+    """The innermost container with MOST of the text, and all inside it; empty if that is the page."""
+    total = np.bincount(boxes, lengths, len(parents))
+    for b in range(len(parents) - 1, 0, -1):  # parents come before their children
+        total[parents[b]] += total[b]
+    here = 0
+    for b in range(1, len(parents)):
+        if parents[b] == here and total[b] >= MOST * total[0]:
+            here = b
+    inside = {here} if here else set()
+    for b in range(here + 1, len(parents)):
+        if parents[b] in inside:
+            inside.add(b)
+    return inside
+
+
+def main_lines(lines: list[str], links: list[int], homes: list[int], boxes: list[int], parents: list[int]) -> list[str]:
     """The lines between surge and dive points of the run with the most text and of those that belong to it."""
     if not lines:
         return []
@@ -193,6 +222,10 @@ def main_lines(lines: list[str], links: list[int], homes: list[int]) -> list[str
     if inside and max(inside.values()) > 0:
         home = max(inside, key=lambda h: (inside[h], -h))
         kept = [r for r in runs if r[3] == home]
+    elif inside_box := main_box(lengths, boxes, parents):
+        own = [r for r in runs if boxes[r[1]] in inside_box]
+        first, last = (f(i for i, r in enumerate(own) if r[0] > 0) for f in (min, max))
+        kept = own[first: last + 1]
     else:
         best = max(runs, key=lambda r: (r[0], -r[1]))
         floor = best[0] / 10

@@ -67,9 +67,10 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
         base = top
 
 
-def assign(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``' identifier, __h, __bytes, shard, depth and shard_bytes (of the bucket or page), one row per row."""
-    rows = written(docs.select(F.col(id_col).alias("__id"), hash60(F.col(id_col), F.col(text_col)).alias("__h"),
+def assign(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``docs``' identifier (``row_col``, if given, in its place), __h, __bytes, shard, depth and shard_bytes (of the bucket or
+    page), one row per row."""
+    rows = written(docs.select(F.col(row_col or id_col).alias("__id"), hash60(F.col(id_col), F.col(text_col)).alias("__h"),
                                F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("__bytes")), "shard-rows")
     buckets = directory(rows, limit)
     depths = [r.depth for r in buckets.select("depth").distinct().collect()]  # at most 61 numbers
@@ -95,12 +96,13 @@ def assign(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "doc_id", te
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> DataFrame:
-    """Write every document into a folder shard=<prefix> under ``path``; return shard, n and bytes."""
-    shards = assign(docs, limit).select(F.col("__id").alias("__sid"), F.col("__h").alias("__sh"), "shard").distinct()
-    rows = docs.withColumn("__sh", hash60(F.col("doc_id"), F.col("text")))
-    out = rows.join(shards.drop("__sid").groupBy("__sh").agg(F.min("shard").alias("shard")), "__sh").drop("__sh")
-    out.repartition(F.col("shard")).write.partitionBy("shard").parquet(path)
-    return out.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
+    """Write every row of ``docs`` into a folder shard=<prefix> under ``path``, one task a shard; return shard, n and bytes."""
+    rid = "__shard_rid"
+    stored = written(docs.withColumn(rid, F.monotonically_increasing_id()), "shard-docs")
+    placed = assign(stored, limit, row_col=rid).select(F.col("__id").alias("__own"), "shard", F.col("__bytes").alias("__shard_row_bytes"))
+    out = stored.join(placed, F.col(rid) == F.col("__own")).drop(rid, "__own")
+    out.drop("__shard_row_bytes").repartition(F.col("shard")).write.partitionBy("shard").parquet(path)
+    return out.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("__shard_row_bytes").alias("bytes"))
 
 
 def sharded(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:

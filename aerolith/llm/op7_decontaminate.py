@@ -4,7 +4,7 @@ A mask fixes which of the words in a window count; a window's seed is the hash o
 substitutions at the other places do not matter.  Seeds of every window of every training
 text meet the seeds of the benchmark items (for each of ``MASKS``).  Around a hit, text and item are
 compared word by word along the hit's diagonal: matches gain 1, substitutions cost ``PENALTY``, and the
-best stretch that holds the hit is the overlap.  It is a leak if enough of the item's words match in it.
+best stretch that holds the hit is the overlap.  It is a leak if LEAK_WORDS words match in it, or LEAST_SHARE of the item.
 
 Words are lower-cased runs of ASCII letters, digits, underscores and characters that are not ASCII.  Items
 go out to the tasks in chunks of at most ``CHUNK_WORDS`` words, counted beforehand; each chunk is one pass over
@@ -32,7 +32,7 @@ from aerolith.llm.textvec import U, Words, mix, pieces
 #: Fixed masks: 1 counts, 0 is ignored.  Eight words count, so common word pairs alone never hit.
 MASKS = ("1111011011", "11011100111", "111001101011", "1101010110101")
 PENALTY = 3
-#: Matching words that make a leak; items under twice this need LEAST_SHARE of their words.
+#: Matching words in one stretch that make a leak, whatever the item's length; else this share of the item's words.
 LEAK_WORDS = 13
 LEAST_SHARE = 0.8
 MIN_WORDS = 5
@@ -96,9 +96,12 @@ def index_items(rows: list[tuple]) -> Items:
 
 def overlap(text: np.ndarray, item: np.ndarray, shift: int, hit: int) -> tuple[int, int, int]:
     """(first word in the item, words, matching words) of the best stretch with item word ``hit`` when item word j
-    lies on text word j + shift."""
+    lies on text word j + shift; if LEAST_SHARE of the whole item matches there, all of it that matches."""
     low, high = max(0, -shift), min(len(item), len(text) - shift)
     match = item[low:high] == text[low + shift: high + shift]
+    if match.sum() >= LEAST_SHARE * len(item):
+        at = np.flatnonzero(match)
+        return low + int(at[0]), int(at[-1] - at[0]) + 1, len(at)
     total = np.concatenate([[0], np.cumsum(np.where(match, 1, -PENALTY))])
     hit -= low
     start = int(np.argmin(total[: hit + 1]))
