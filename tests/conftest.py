@@ -11,17 +11,19 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    from pyspark import SparkConf
     from pyspark.sql import SparkSession
 
-    s = (SparkSession.builder.master("local[4]").appName("aerolith-tests")
+    b = (SparkSession.builder.master("local[4]").appName("aerolith-tests")
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC")
-         .getOrCreate())
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="aerolith-wh-"))
+         .config("spark.sql.session.timeZone", "UTC"))
+    if not SparkConf().get("spark.checkpoint.dir", None):  # one machine: a local folder is shared
+        b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="aerolith-test-"))
+    s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="aerolith-test-"))
     yield s
 
 
