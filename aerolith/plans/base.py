@@ -22,5 +22,5 @@ def merged(spark, sf_dir):
     return features.merge_clean(fx.air(spark, sf_dir), fx.weather(spark, sf_dir))
 
 
-def feature_table(spark, sf_dir, strategy="plain"):
-    return features.build_features(fx.air(spark, sf_dir), fx.weather(spark, sf_dir), strategy=strategy)
+def feature_table(spark, sf_dir, strategy="plain", before=None):
+    return features.build_features(fx.air(spark, sf_dir, before), fx.weather(spark, sf_dir), strategy=strategy)

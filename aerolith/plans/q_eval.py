@@ -18,7 +18,7 @@ from aerolith.plans import sqlaqi as SA
 from aerolith.plans import sqlparts as S
 from aerolith.plans.common import round_doubles
 from aerolith.plans.registry import query
-from aerolith.sources.fixtures import AS_OF
+from aerolith.sources import fixtures as fx
 
 # Fixed baseline forecasters: name -> source column suffix of the prediction.
 BASELINES = {"persistence_1h": "lag_1h", "persistence_24h": "lag_24h", "mean_6h": "roll_mean_6h"}
@@ -99,7 +99,7 @@ def _runs_sql(select_tail: str) -> str:
         ctes += c
         sels.append(s)
     runs = f"""runs AS (
-  SELECT TIMESTAMP '{AS_OF.isoformat(sep=' ')}' AS timestamp, model_name, 'MULTI_OUTPUT' AS target,
+  SELECT {S.AS_OF_SQL} AS timestamp, model_name, 'MULTI_OUTPUT' AS target,
          mae, rmse, r2, aqi_mae, '{NOTE}' AS experiment_note
   FROM ({' UNION ALL '.join(sels)}))"""
     return S.features_ctes(*ctes, runs) + "\n" + select_tail
@@ -110,7 +110,7 @@ def runs(spark, sf_dir):
     t = split(spark, sf_dir).where(F.col("is_test"))
     t = t.withColumns({f"pred_{m}_{p}": F.col(f"{p}_{suffix}") for m, suffix in BASELINES.items() for p in POLLUTANTS})
     out = E.summaries(t, {m: f"pred_{m}_" for m in BASELINES})
-    return out.select(F.lit(AS_OF.isoformat(sep=" ")).cast("timestamp_ntz").alias("timestamp"), "model_name",
+    return out.select(F.lit(fx.as_of(spark, sf_dir)).cast("timestamp_ntz").alias("timestamp"), "model_name",
                       F.lit("MULTI_OUTPUT").alias("target"), "mae", "rmse", "r2", "aqi_mae",
                       F.lit(NOTE).alias("experiment_note"))
 

@@ -36,7 +36,7 @@ def join_air_weather(spark, sf_dir):
     return round_doubles(joins.join_on_time(fx.air(spark, sf_dir), fx.weather(spark, sf_dir)))
 
 
-@query("future_weather", sql=f"""{S.base_ctes(S.future_cte())}
+@query("future_weather", sql=f"""{S.base_ctes(S.future_cte(), forecast=True)}
 SELECT station, time, {S.rounded_select(WEATHER_RAW_COLUMNS, [])} FROM future""")
 def future_weather(spark, sf_dir):
     """Weather hours without an air row (the forecast hours)."""

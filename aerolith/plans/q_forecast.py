@@ -40,14 +40,14 @@ _ROLL = f"""rolls AS (
     ON h.station = f.station AND h.time >= f.time - INTERVAL {max(ROLL_HOURS)} HOUR AND h.time < f.time
   GROUP BY f.station, f.time)"""
 
-_CTES = S.features_ctes(S.future_cte(), _HIST, _FUT, _ASOF, _ROLL)
+_CTES = S.features_ctes(S.future_cte(), _HIST, _FUT, _ASOF, _ROLL, forecast=True)
 
 
 def history(spark, sf_dir):
-    return FC.history_tail(base.feature_table(spark, sf_dir))
+    return FC.history_tail(base.feature_table(spark, sf_dir, before=fx.as_of(spark, sf_dir)))
 
 
-@query("history_tail", sql=f"""{S.features_ctes(_HIST)}
+@query("history_tail", sql=f"""{S.features_ctes(_HIST, forecast=True)}
 SELECT station, time, {S.rounded_select(POLLUTANTS, [])} FROM hist""")
 def history_tail(spark, sf_dir):
     """O2: the last 48 feature rows per station (lag context of the forecast)."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType, TimestampNTZType
 
@@ -32,7 +34,7 @@ UNIT_HEADER = {
     "wind_direction_10m": "Wind Direction-10m (°)",
     "cloud_cover": "Cloud Cover (%)",
 }
-PREAMBLE = ["latitude,longitude,elevation,utc_offset_seconds,timezone", "24.9,67.0,10.0,0,GMT", ""]
+PREAMBLE = ["latitude,longitude,elevation,utc_offset_seconds,timezone", "0.0,0.0,0.0,0,GMT", ""]
 
 
 @query("src_csv_preamble", sql=f"""{S.base_ctes()}
@@ -81,8 +83,8 @@ def payload_explode(spark, sf_dir):
 
 _CHUNK_DAYS = 6
 _RANGES = """ranges AS (
-  SELECT user_id % 5 AS station, CAST(min(ts) AS DATE) AS start_date, CAST(max(ts) AS DATE) AS end_date
-  FROM events GROUP BY user_id % 5)"""
+  SELECT user_id AS station, CAST(min(ts) AS DATE) AS start_date, CAST(max(ts) AS DATE) AS end_date
+  FROM events GROUP BY user_id)"""
 _CHUNKS = f"""chunks AS (
   SELECT station, CAST(i AS INTEGER) AS chunk, start_date + CAST(i * {_CHUNK_DAYS + 1} AS INTEGER) AS chunk_start,
          least(start_date + CAST(i * {_CHUNK_DAYS + 1} + {_CHUNK_DAYS} AS INTEGER), end_date) AS chunk_end
@@ -92,7 +94,7 @@ _CHUNKS = f"""chunks AS (
 
 def _chunks(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events")
-    ranges = ev.groupBy((F.col("user_id") % fx.N_STATIONS).alias("station")).agg(
+    ranges = ev.groupBy(F.col("user_id").alias("station")).agg(
         F.to_date(F.min("ts")).alias("start_date"), F.to_date(F.max("ts")).alias("end_date"))
     return files.chunk_table(ranges, _CHUNK_DAYS, keys=["station"])
 
@@ -113,15 +115,28 @@ def backfill_missing(spark, sf_dir):
     return files.missing_chunks(_chunks(spark, sf_dir), fx.air(spark, sf_dir), keys=["station"])
 
 
+def _days_before_end(days: int) -> str:
+    """Midnight so many days before the last event's day, in SQL."""
+    return f"(SELECT date_trunc('day', max(ts)) - INTERVAL {days} DAY FROM events)"
+
+
+def _day(spark, sf_dir, days: int):
+    """The same time as a literal: one number from the data."""
+    return F.lit(fx.as_of(spark, sf_dir) - timedelta(days=days - fx.FORECAST_DAYS)).cast("timestamp_ntz")
+
+
+_HALF_DAYS, _OLD_END_DAYS, _NEW_START_DAYS = 15, 8, 10
+
+
 @query("union_chunks", sql=f"""{S.base_ctes()}
-SELECT station, time, {S.rounded_select(AIR_COLUMNS, [])} FROM air WHERE time < TIMESTAMP '2024-01-15 00:00:00'
+SELECT station, time, {S.rounded_select(AIR_COLUMNS, [])} FROM air WHERE time < {_days_before_end(_HALF_DAYS)}
 UNION ALL
 SELECT station, time, {S.rounded_select([c for c in AIR_COLUMNS if c != 'us_aqi'], [])}, NULL AS us_aqi
-FROM air WHERE time >= TIMESTAMP '2024-01-15 00:00:00'""")
+FROM air WHERE time >= {_days_before_end(_HALF_DAYS)}""")
 def union_chunks(spark, sf_dir):
     """An older chunk with every column and a newer fetch without us_aqi, concatenated by name."""
     a = fx.air(spark, sf_dir)
-    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    cut = _day(spark, sf_dir, _HALF_DAYS)
     old = a.where(F.col("time") < cut)
     new = a.where(F.col("time") >= cut).drop("us_aqi")
     return round_doubles(files.union_frames([old, new]))
@@ -129,20 +144,19 @@ def union_chunks(spark, sf_dir):
 
 # ---------------------------------------------------------------- feature store
 
-_OLD_END = "2024-01-22 00:00:00"
-_NEW_START = "2024-01-20 00:00:00"
+_OLD_END, _NEW_START = _days_before_end(_OLD_END_DAYS), _days_before_end(_NEW_START_DAYS)
 
 
 def _store_frames(spark, sf_dir):
     f = base.feature_table(spark, sf_dir).select("station", "time", "pm2_5", "pm10")
-    old = f.where(F.col("time") < F.lit(_OLD_END).cast("timestamp_ntz")).withColumn("version", F.lit(1))
-    new = f.where(F.col("time") >= F.lit(_NEW_START).cast("timestamp_ntz")).withColumn("version", F.lit(2))
+    old = f.where(F.col("time") < _day(spark, sf_dir, _OLD_END_DAYS)).withColumn("version", F.lit(1))
+    new = f.where(F.col("time") >= _day(spark, sf_dir, _NEW_START_DAYS)).withColumn("version", F.lit(2))
     return old, new
 
 
 @query("feature_upsert", sql=f"""{S.features_ctes()},
-old AS (SELECT station, time, pm2_5, pm10, 1 AS version FROM feat_full WHERE time < TIMESTAMP '{_OLD_END}'),
-new AS (SELECT station, time, pm2_5, pm10, 2 AS version FROM feat_full WHERE time >= TIMESTAMP '{_NEW_START}')
+old AS (SELECT station, time, pm2_5, pm10, 1 AS version FROM feat_full WHERE time < {_OLD_END}),
+new AS (SELECT station, time, pm2_5, pm10, 2 AS version FROM feat_full WHERE time >= {_NEW_START})
 SELECT station, time, {S.rounded_select(['pm2_5', 'pm10'], [])}, version FROM (
   SELECT * FROM new UNION ALL
   SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.station = o.station AND n.time = o.time))""")
@@ -156,8 +170,8 @@ def feature_upsert(spark, sf_dir):
 
 
 @query("incremental_rows", sql=f"""{S.features_ctes()},
-old AS (SELECT * FROM feat_full WHERE time < TIMESTAMP '{_OLD_END}'),
-new AS (SELECT * FROM feat_full WHERE time >= TIMESTAMP '{_NEW_START}')
+old AS (SELECT * FROM feat_full WHERE time < {_OLD_END}),
+new AS (SELECT * FROM feat_full WHERE time >= {_NEW_START})
 SELECT station, time, {S.rounded_select(['pm2_5', 'pm10'], [])} FROM new WHERE time > (SELECT max(time) FROM old)""")
 def incremental_rows(spark, sf_dir):
     """Rows of a new batch strictly after the stored high-water mark."""

@@ -7,6 +7,8 @@ SQL twins can recompute it; ``forecast`` scores the same rows with a fitted MLli
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from aerolith.config import POLLUTANTS
@@ -25,7 +27,9 @@ from aerolith.sources import fixtures as fx
 from aerolith.sources import store
 from aerolith.sources.fixtures import WEATHER_RAW_COLUMNS
 
-VIEW_AS_OF = "2024-01-29 00:00:00"
+#: The view opens one day into the forecast.
+VIEW_DAYS = 1
+_VIEW_SQL = f"({S.AS_OF_SQL} + INTERVAL {VIEW_DAYS} DAY)"
 _PREDS_COLS = [f"pred_{p}" for p in POLLUTANTS]
 _PREDS = ("preds AS (SELECT f.station, f.time, " + ", ".join(f"f.{c}" for c in WEATHER_RAW_COLUMNS) + ", "
           + ", ".join(f"a.{p}_lag_1h AS pred_{p}" for p in POLLUTANTS)
@@ -34,6 +38,10 @@ _CTES = QF._CTES + ",\n" + _PREDS
 _OUT = WEATHER_RAW_COLUMNS + _PREDS_COLS
 
 
+def view_time(spark, sf_dir):
+    return fx.as_of(spark, sf_dir) + timedelta(days=VIEW_DAYS)
+
+
 def predictions(spark, sf_dir):
     f = FC.forecast_features(QF.history(spark, sf_dir), fx.future_weather(spark, sf_dir), include_rolling=False,
                              include_calendar=False)
@@ -43,27 +51,27 @@ def predictions(spark, sf_dir):
 
 
 @query("forecast_view", sql=f"""{_CTES}
-SELECT station, time, {S.rounded_select(_OUT, [])}, us_epa_aqi FROM preds WHERE time >= TIMESTAMP '{VIEW_AS_OF}'""")
+SELECT station, time, {S.rounded_select(_OUT, [])}, us_epa_aqi FROM preds WHERE time >= {_VIEW_SQL}""")
 def forecast_view(spark, sf_dir):
     """Forecast rows at or after the view time (a parameter, not now())."""
-    return round_doubles(V.forecast_view(predictions(spark, sf_dir), VIEW_AS_OF))
+    return round_doubles(V.forecast_view(predictions(spark, sf_dir), view_time(spark, sf_dir)))
 
 
 @query("current_status", sql=f"""{_CTES},
 firsts AS (SELECT *, row_number() OVER (PARTITION BY station ORDER BY time) AS rn
-           FROM preds WHERE time >= TIMESTAMP '{VIEW_AS_OF}')
+           FROM preds WHERE time >= {_VIEW_SQL})
 SELECT station, time, {S.rounded_select(_OUT, [])}, us_epa_aqi, {SA.status('us_epa_aqi')} AS status,
   us_epa_aqi > 100 AS alert FROM firsts WHERE rn = 1""")
 def current_status(spark, sf_dir):
     """First forecast hour per station with status label and alert flag."""
-    return round_doubles(V.current_status(predictions(spark, sf_dir), VIEW_AS_OF))
+    return round_doubles(V.current_status(predictions(spark, sf_dir), view_time(spark, sf_dir)))
 
 
 @query("alerts", sql=f"""{_CTES}
-SELECT station, time, us_epa_aqi FROM preds WHERE time >= TIMESTAMP '{VIEW_AS_OF}' AND us_epa_aqi > 100""")
+SELECT station, time, us_epa_aqi FROM preds WHERE time >= {_VIEW_SQL} AND us_epa_aqi > 100""")
 def alerts(spark, sf_dir):
     """Forecast hours with an index above 100."""
-    return V.alerts(predictions(spark, sf_dir), VIEW_AS_OF).select("station", "time", "us_epa_aqi")
+    return V.alerts(predictions(spark, sf_dir), view_time(spark, sf_dir)).select("station", "time", "us_epa_aqi")
 
 
 def _stack_sql() -> str:
@@ -86,7 +94,8 @@ SELECT station, time, {S.rounded_select(_OUT, [])}, us_epa_aqi FROM preds""")
 def source_fallback(spark, sf_dir):
     """The live source (forecasts after a future date: empty here) falls back to the local predictions."""
     p = predictions(spark, sf_dir)
-    live = p.where(F.col("time") >= F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+    beyond = fx.as_of(spark, sf_dir) + timedelta(days=fx.FORECAST_DAYS + 1)  # after the last event
+    live = p.where(F.col("time") >= F.lit(beyond).cast("timestamp_ntz"))
     return round_doubles(store.with_fallback(live, p))
 
 
@@ -147,20 +156,20 @@ def attribution_summary(spark, sf_dir):
 
 
 @query("attribution_row", sql=f"""{_attr_sql()},
-pick AS (SELECT * FROM attr WHERE station = 0 AND target = 'pm2_5'
-         AND time = (SELECT min(time) FROM test WHERE station = 0)),
+pick AS (SELECT * FROM attr WHERE target = 'pm2_5'
+         AND (station, time) = (SELECT (station, time) FROM test ORDER BY station, time LIMIT 1)),
 o AS (SELECT *, CAST(row_number() OVER (ORDER BY abs(contribution) DESC, feature) AS INTEGER) AS step FROM pick)
 SELECT station, time, target, feature, step,
   {S.rounded_select(['value', 'contribution', 'base', 'prediction'], [])},
   {S.q6('base + sum(contribution) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')}
     AS cumulative FROM o""")
 def attribution_row(spark, sf_dir):
-    """Waterfall of one explained row (station 0, first test hour, PM2.5)."""
+    """Waterfall of one explained row (the least station's first test hour, PM2.5)."""
     attr = attribution(spark, sf_dir)
-    first = (chrono_split(base.feature_table(spark, sf_dir)).where(F.col("is_test") & (F.col("station") == 0))
-             .agg(F.min("time").alias("__t0")))
-    picked = attr.join(F.broadcast(first), F.col("time") == F.col("__t0")).drop("__t0")
-    return round_doubles(explain.waterfall(picked, F.col("station") == 0, "pm2_5"))
+    first = (chrono_split(base.feature_table(spark, sf_dir)).where(F.col("is_test"))
+             .agg(F.min(F.struct("station", "time")).alias("__first"))).select("__first.*").toDF("__s0", "__t0")
+    picked = attr.join(F.broadcast(first), (F.col("station") == F.col("__s0")) & (F.col("time") == F.col("__t0"))).drop("__s0", "__t0")
+    return round_doubles(explain.waterfall(picked, F.lit(True), "pm2_5"))
 
 
 @query("forecast")

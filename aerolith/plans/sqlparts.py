@@ -7,9 +7,10 @@ definition by definition, so every twin query is ``WITH <parts> SELECT ...``.
 from __future__ import annotations
 
 from aerolith.config import LAG_HOURS, POLLUTANTS, ROLL_HOURS, WEATHER_COLS
-from aerolith.sources.fixtures import AIR_COLUMNS, AS_OF, N_STATIONS, TYPE_TO_POLLUTANT, WEATHER_RAW_COLUMNS
+from aerolith.sources.fixtures import AIR_COLUMNS, FORECAST_DAYS, TYPE_TO_POLLUTANT, WEATHER_RAW_COLUMNS
 
-AS_OF_SQL = f"TIMESTAMP '{AS_OF.isoformat(sep=' ')}'"
+#: The forecast time, from the data itself.
+AS_OF_SQL = f"(SELECT date_trunc('day', max(ts)) - INTERVAL {FORECAST_DAYS} DAY FROM events)"
 W = "PARTITION BY station ORDER BY time"
 
 
@@ -28,9 +29,9 @@ def r6(expr: str, alias: str) -> str:
     return f"{q6(expr)} AS {alias}"
 
 
-def ev_cte(n_stations: int = N_STATIONS) -> str:
-    return f"""ev AS (
-  SELECT user_id % {n_stations} AS station, date_trunc('hour', ts) AS time, ts, event_type,
+def ev_cte() -> str:
+    return """ev AS (
+  SELECT user_id AS station, date_trunc('hour', ts) AS time, ts, event_type,
          CAST(round(value * 100) AS BIGINT) AS c,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
   FROM events)"""
@@ -42,14 +43,15 @@ def _mean_cents(cond: str | None = None) -> str:
     return f"{dbl(f'sum(c) FILTER (WHERE {cond})')} / {dbl(f'100 * count(*) FILTER (WHERE {cond})')}"
 
 
-def air_cte() -> str:
+def air_cte(forecast: bool = False) -> str:
+    """Air readings; those of a forecast end at its time."""
     pol_to_type = {v: k for k, v in TYPE_TO_POLLUTANT.items()}
     cols = [f"{_mean_cents(f'event_type = {chr(39)}{pol_to_type[p]}{chr(39)}')} AS {p}" for p in AIR_COLUMNS
             if p != "us_aqi"]
     cols.append(f"{_mean_cents()} AS us_aqi")
     return f"""air AS (
   SELECT station, time, {', '.join(cols)}
-  FROM ev WHERE ts < {AS_OF_SQL} GROUP BY station, time)"""
+  FROM ev{f' WHERE ts < {AS_OF_SQL}' if forecast else ''} GROUP BY station, time)"""
 
 
 def weather_cte() -> str:
@@ -62,7 +64,7 @@ def weather_cte() -> str:
     {dbl('count(*)')} AS wind_speed_10m,
     {dbl('sum(k) % 360')} AS wind_direction_10m,
     {dbl('max(k)')} AS cloud_cover
-  FROM ev WHERE event_type <> 'error' GROUP BY station, time)"""
+  FROM ev GROUP BY station, time)"""
 
 
 def future_cte() -> str:
@@ -120,24 +122,25 @@ def engineered_cte(src: str = "merged", name: str = "feat") -> str:
   SELECT *, {', '.join(parts)} FROM {src})"""
 
 
-def base_ctes(*extra: str, n_stations: int = N_STATIONS) -> str:
+def base_ctes(*extra: str, forecast: bool = False) -> str:
     """``WITH ev, air, weather[, extra...]``."""
-    return "WITH " + ",\n".join([ev_cte(n_stations), air_cte(), weather_cte(), *extra])
+    return "WITH " + ",\n".join([ev_cte(), air_cte(forecast), weather_cte(), *extra])
 
 
-def features_ctes(*extra: str) -> str:
+def features_ctes(*extra: str, forecast: bool = False) -> str:
     """... merged, feat (all rows), feat_full (rows without any missing value)."""
     d, i = feature_columns()
     cond = " AND ".join(f"{c} IS NOT NULL" for c in d + i)
-    return merged_ctes(engineered_cte(), f"feat_full AS (SELECT * FROM feat WHERE {cond})", *extra)
+    return merged_ctes(engineered_cte(), f"feat_full AS (SELECT * FROM feat WHERE {cond})", *extra, forecast=forecast)
 
 
-def merged_ctes(*extra: str) -> str:
+def merged_ctes(*extra: str, forecast: bool = False) -> str:
     return base_ctes(
         clean_cte("air_c", "air", AIR_COLUMNS),
         clean_cte("weather_c", "weather", WEATHER_RAW_COLUMNS),
         merged_cte(),
         *extra,
+        forecast=forecast,
     )
 
 

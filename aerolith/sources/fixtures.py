@@ -2,14 +2,15 @@
 
 The reference reads hourly air-quality and weather readings of one site.  The test
 data has none, so every query derives them from ``events`` with Spark (the work
-grows with ``events``):
+grows with ``events``; no event is left out):
 
-* ``station``  = ``user_id % n_stations`` (a key derivation, no row is dropped)
+* ``station``  = ``user_id``
 * ``time``     = ``ts`` truncated to the hour (timestamp_ntz)
 * ``c``        = ``value`` in whole cents, ``k`` = integer ``$.k`` of ``props``
-* air          = events before ``as_of``; per event type the mean of ``c``/100
-* weather      = events of every type but ``error`` over the whole range
-* future       = weather anti-join air (the forecast hours after ``as_of``)
+* air          = per event type the mean of ``c``/100
+* weather      = aggregates of all events of the hour
+* forecasting  = only here an ``as_of`` time ends the air table: the start of the day two days
+  before the last event, taken from the data; future = weather anti-join that air table
 
 The aggregation is a partial + final hash aggregate over ``(station, hour)``: a hot
 station only grows the map-side combine, never one reducer.
@@ -17,7 +18,7 @@ station only grows the map-side combine, never one reducer.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,8 @@ TABLES = [
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# Fixed values of the stand-in definition (shared with the SQL twins).
-N_STATIONS = 5
-AS_OF = datetime(2024, 1, 28)
+#: Whole days before the last event's day at which the forecasts' air table ends.
+FORECAST_DAYS = 2
 # event type -> pollutant column
 TYPE_TO_POLLUTANT = {
     "click": "pm2_5",
@@ -67,11 +67,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _events_hourly(spark: SparkSession, sf_dir: str, n_stations: int | None) -> DataFrame:
+def as_of(spark: SparkSession, sf_dir: str) -> datetime:
+    """The forecast time: the start of the day ``FORECAST_DAYS`` before the last event's."""
+    last = table(spark, sf_dir, "events").agg(F.max("ts")).first()[0] or datetime(1970, 1, 1)
+    return last.replace(hour=0, minute=0, second=0, microsecond=0) - timedelta(days=FORECAST_DAYS)
+
+
+def _events_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value", "props")
-    station = F.col("user_id") % F.lit(n_stations) if n_stations else F.col("user_id")
     return ev.select(
-        station.alias("station"),
+        F.col("user_id").alias("station"),
         hour_floor("ts").alias("time"),
         F.col("ts"),
         F.col("event_type"),
@@ -86,53 +91,42 @@ def _mean_cents(cond=None):
     return F.try_divide(F.sum(c).cast("double"), (n * 100).cast("double"))
 
 
-def hourly_readings(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS,
-                    as_of: datetime = AS_OF) -> DataFrame:
-    """Air and weather aggregates of every (station, hour) in ONE pass over ``events``.
+def hourly_readings(spark: SparkSession, sf_dir: str, before: datetime | None = None) -> DataFrame:
+    """Air and weather aggregates of every (station, hour) in one pass over ``events``.
 
-    Conditional aggregates keep the two definitions apart (air: events before
-    ``as_of``; weather: events other than ``error``), so a query that needs both tables
-    scans and shuffles ``events`` once; Spark reuses the exchange for both branches.
+    ``before`` ends the air readings there (a forecast's ``as_of``); the weather goes on.
     """
-    ev = _events_hourly(spark, sf_dir, n_stations)
-    is_air = F.col("ts") < ntz_lit(as_of)
-    is_w = F.col("event_type") != "error"
-    wk = F.when(is_w, F.col("k"))
-    wc = F.when(is_w, F.col("c"))
-    nw = F.count_if(is_w)
-    air_cols = {pol: _mean_cents(is_air & (F.col("event_type") == t)) for t, pol in TYPE_TO_POLLUTANT.items()}
+    ev = _events_hourly(spark, sf_dir)
+    in_time = F.lit(True) if before is None else F.col("ts") < ntz_lit(before)
+    n = F.count(F.lit(1))
+    air_cols = {pol: _mean_cents(in_time & (F.col("event_type") == t)) for t, pol in TYPE_TO_POLLUTANT.items()}
     return ev.groupBy("station", "time").agg(
-        F.count_if(is_air).alias("__n_air"),
+        F.count_if(in_time).alias("__n_air"),
         *[air_cols[c].alias(c) for c in AIR_COLUMNS if c != "us_aqi"],
-        _mean_cents(is_air).alias("us_aqi"),
-        nw.alias("__n_weather"),
-        _mean_cents(is_w).alias("temperature_2m"),
-        (F.sum(wk).cast("double") / nw.cast("double")).alias("relative_humidity_2m"),
-        ((F.max(wc) - F.min(wc)).cast("double") / F.lit(100.0)).alias("precipitation"),
-        (F.lit(1000.0) + F.min(wk).cast("double")).alias("surface_pressure"),
-        nw.cast("double").alias("wind_speed_10m"),
-        (F.sum(wk) % 360).cast("double").alias("wind_direction_10m"),
-        F.max(wk).cast("double").alias("cloud_cover"),
+        _mean_cents(in_time).alias("us_aqi"),
+        _mean_cents().alias("temperature_2m"),
+        (F.sum("k").cast("double") / n.cast("double")).alias("relative_humidity_2m"),
+        ((F.max("c") - F.min("c")).cast("double") / F.lit(100.0)).alias("precipitation"),
+        (F.lit(1000.0) + F.min("k").cast("double")).alias("surface_pressure"),
+        n.cast("double").alias("wind_speed_10m"),
+        (F.sum("k") % 360).cast("double").alias("wind_direction_10m"),
+        F.max("k").cast("double").alias("cloud_cover"),
     )
 
 
-def air(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS, as_of: datetime = AS_OF) -> DataFrame:
-    """Hourly pollutant readings per station before ``as_of``."""
-    h = hourly_readings(spark, sf_dir, n_stations, as_of)
+def air(spark: SparkSession, sf_dir: str, before: datetime | None = None) -> DataFrame:
+    """Hourly pollutant readings per station (up to ``before``, if given)."""
+    h = hourly_readings(spark, sf_dir, before)
     return h.where(F.col("__n_air") > 0).select("station", "time", *AIR_COLUMNS)
 
 
-def weather(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS,
-            as_of: datetime = AS_OF) -> DataFrame:
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather readings per station, past and forecast hours."""
-    h = hourly_readings(spark, sf_dir, n_stations, as_of)
-    return h.where(F.col("__n_weather") > 0).select("station", "time", *WEATHER_RAW_COLUMNS)
+    return hourly_readings(spark, sf_dir).select("station", "time", *WEATHER_RAW_COLUMNS)
 
 
-def future_weather(spark: SparkSession, sf_dir: str, n_stations: int | None = N_STATIONS,
-                   as_of: datetime = AS_OF) -> DataFrame:
-    """Weather hours that have no air row (the forecast part, J2)."""
+def future_weather(spark: SparkSession, sf_dir: str, before: datetime | None = None) -> DataFrame:
+    """Weather hours that have no air row before ``as_of`` (the forecast part, J2)."""
     from aerolith.operators.joins import anti_join_time
 
-    return anti_join_time(weather(spark, sf_dir, n_stations, as_of), air(spark, sf_dir, n_stations, as_of),
-                          ["station"])
+    return anti_join_time(weather(spark, sf_dir), air(spark, sf_dir, before or as_of(spark, sf_dir)), ["station"])
