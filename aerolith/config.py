@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -71,17 +69,14 @@ def get_session(master: str | None = None, app: str = "aerolith", shuffle_partit
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
+    """Shared folder for checkpoints and intermediate tables, from ``spark.checkpoint.dir`` of the session.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset (local tests) a scratch folder is created and registered.
+    Without it there is no folder that all executors are known to share, so this raises; a local
+    session names one when it is built.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="aerolith-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -91,11 +86,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("AEROLITH_SF_DIR", default)

@@ -82,15 +82,22 @@ def subindex_sql(c, bands, mode: str = "reference", precision: float | None = No
     """Sub-index of concentration ``c`` for ``bands`` (F9) as a SQL CASE expression (bigint)."""
     c = f"CAST({_sql(c)} AS DOUBLE)"
     if mode == "epa":
-        step = _d(precision or 1.0)
-        c = f"(floor({c} / {step}) * {step})"
-    elif mode != "reference":
+        return f"CASE WHEN {c} >= {_d(0)} THEN {_truncated_sql(c, bands, round(1 / (precision or 1.0)))} END"
+    if mode != "reference":
         raise ValueError(f"unknown mode {mode!r}")
     whens = " ".join(f"WHEN {c} >= {_d(b[0])} AND {c} <= {_d(b[1])} THEN {_linear(c, b)}" for b in bands)
-    out = f"CAST(bround(CASE {whens} ELSE {_linear(c, bands[-1])} END, 0) AS BIGINT)"
-    if mode == "epa":
-        out = f"CASE WHEN {c} >= {_d(0)} THEN {out} END"
-    return f"CASE WHEN {c} IS NOT NULL THEN {out} END"
+    return f"CASE WHEN {c} IS NOT NULL THEN CAST(bround(CASE {whens} ELSE {_linear(c, bands[-1])} END, 0) AS BIGINT) END"
+
+
+def _truncated_sql(c: str, bands, steps: int) -> str:
+    """The index of ``c`` truncated to 1/``steps``, in whole steps, so that band edges and halves are exact.
+
+    The inner rounding takes off what binary multiplication adds to a decimal such as 55.4.
+    """
+    t = f"CAST(floor(round({c} * {_d(steps)}, 6)) AS BIGINT)"
+    edges = [(round(b[0] * steps), round(b[1] * steps), b[2], b[3]) for b in bands]
+    line = lambda b: f"CAST(bround({_d(b[3] - b[2])} * ({t} - {b[0]}) / {_d(b[1] - b[0])} + {b[2]}, 0) AS BIGINT)"
+    return f"CASE {' '.join(f'WHEN {t} BETWEEN {b[0]} AND {b[1]} THEN {line(b)}' for b in edges)} ELSE {line(edges[-1])} END"
 
 
 def subindex(c, bands, mode: str = "reference", precision: float | None = None) -> Column:

@@ -46,7 +46,7 @@ def attach_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) ->
 
 
 def pearson(a, b) -> Column:
-    """Pairwise-complete Pearson correlation as an aggregate; NaN for a constant input.
+    """Pairwise-complete Pearson correlation as an aggregate; NaN for a constant input or a single pair.
 
     Spark's ``corr`` divides by zero for a constant column, which raises under ANSI
     mode; pandas answers NaN.  Rows where either side is NULL are skipped (pandas'
@@ -57,7 +57,7 @@ def pearson(a, b) -> Column:
     both = a.isNotNull() & b.isNotNull()
     xa, xb = F.when(both, a).cast("double"), F.when(both, b).cast("double")
     den = F.stddev_samp(xa) * F.stddev_samp(xb)
-    return F.when(den == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.covar_samp(xa, xb), den))
+    return F.when((den == 0) | (F.count(xa) == 1), F.lit(float("nan"))).otherwise(F.try_divide(F.covar_samp(xa, xb), den))
 
 
 def _quantiles(c: str, approx: bool) -> Column:

@@ -189,19 +189,43 @@ def box_stats(spark, sf_dir):
 
 
 @query("quality_report", sql=S.features_ctes() + """
-SELECT a.station, a.n_air, w.n_weather, m.n_merged, f.n_features, m.n_merged - f.n_features AS n_dropped
-FROM (SELECT station, count(*) AS n_air FROM air GROUP BY station) a
-JOIN (SELECT station, count(*) AS n_weather FROM weather GROUP BY station) w USING (station)
-JOIN (SELECT station, count(*) AS n_merged FROM merged GROUP BY station) m USING (station)
-JOIN (SELECT station, count(*) AS n_features FROM feat_full GROUP BY station) f USING (station)""")
+SELECT station, count(*) FILTER (WHERE step = 'a') AS n_air, count(*) FILTER (WHERE step = 'w') AS n_weather,
+  count(*) FILTER (WHERE step = 'm') AS n_merged, count(*) FILTER (WHERE step = 'f') AS n_features,
+  count(*) FILTER (WHERE step = 'm') - count(*) FILTER (WHERE step = 'f') AS n_dropped
+FROM (SELECT station, 'a' AS step FROM air UNION ALL SELECT station, 'w' FROM weather
+  UNION ALL SELECT station, 'm' FROM merged UNION ALL SELECT station, 'f' FROM feat_full)
+GROUP BY station""")
 def quality_report(spark, sf_dir):
-    """Per-station row counts through the feature steps and rows dropped by dropna."""
-    from aerolith.operators.features import drop_any_null, engineer
-    a = base.air(spark, sf_dir).groupBy("station").agg(F.count(F.lit(1)).alias("n_air"))
-    w = base.weather(spark, sf_dir).groupBy("station").agg(F.count(F.lit(1)).alias("n_weather"))
-    m = base.merged(spark, sf_dir)
-    f = drop_any_null(engineer(m))
-    mc = m.groupBy("station").agg(F.count(F.lit(1)).alias("n_merged"))
-    fc = f.groupBy("station").agg(F.count(F.lit(1)).alias("n_features"))
-    out = a.join(w, "station").join(mc, "station").join(fc, "station")
+    """Per-station row counts through the feature steps and rows dropped by dropna; no station is left out."""
+    from aerolith.operators.features import engineer
+    d, i = S.feature_columns()
+    whole = F.lit(True)
+    for c in d + i:
+        whole &= F.col(c).isNotNull()
+    step = lambda df, name, full=F.lit(False): df.select("station", F.lit(name).alias("step"), full.alias("full"))
+    rows = (step(base.air(spark, sf_dir), "a").unionByName(step(base.weather(spark, sf_dir), "w"))
+            .unionByName(step(engineer(base.merged(spark, sf_dir)), "m", whole)))
+    out = rows.groupBy("station").agg(
+        *[F.count_if(F.col("step") == k).alias(n) for k, n in (("a", "n_air"), ("w", "n_weather"), ("m", "n_merged"))],
+        F.count_if(F.col("full")).alias("n_features"))
     return out.withColumn("n_dropped", F.col("n_merged") - F.col("n_features"))
+
+
+# Fixed values of the second mode's twin: the published PM2.5 bands (low, high, index low, index high) in tenths.
+_EPA_TENTHS = [(0, 120, 0, 50), (121, 354, 51, 100), (355, 554, 101, 150), (555, 1504, 151, 200),
+               (1505, 2504, 201, 300), (2505, 3504, 301, 400), (3505, 5004, 401, 500)]
+
+
+def _epa_sql(c: str) -> str:
+    t = f"CAST(floor(round({c} * CAST(10 AS DOUBLE), 6)) AS BIGINT)"
+    line = lambda b: (f"CAST(round_even(CAST({b[3] - b[2]} AS DOUBLE) * ({t} - {b[0]}) / CAST({b[1] - b[0]} AS DOUBLE) + {b[2]}, 0) AS BIGINT)")
+    return (f"CASE WHEN {c} < 0 THEN NULL " + " ".join(f"WHEN {t} BETWEEN {b[0]} AND {b[1]} THEN {line(b)}" for b in _EPA_TENTHS)
+            + f" WHEN {c} IS NOT NULL THEN {line(_EPA_TENTHS[-1])} END")
+
+
+@query("aqi_epa", sql=f"""{S.base_ctes()}
+SELECT station, time, {_epa_sql('pm2_5')} AS aqi_pm2_5 FROM air""")
+def aqi_epa(spark, sf_dir):
+    """F9, second mode: PM2.5 sub-index of the concentration truncated to tenths, of every raw air hour."""
+    a = base.air(spark, sf_dir)
+    return a.select("station", "time", A.subindex("pm2_5", A.BANDS["pm2_5"], mode="epa", precision=0.1).alias("aqi_pm2_5"))

@@ -88,16 +88,17 @@ def payload_explode(payload: DataFrame, variables: Sequence[str], keys: Sequence
     """S3 + F5 + F6: ``struct(start, end, interval, <var>: array<double>)`` rows -> hourly rows.
 
     ``time`` = ``date_range(start, end, freq=interval, inclusive='left')``; the i-th value of
-    every variable array goes to the i-th time (a shorter array leaves NULLs at the end).
+    every variable array goes to the i-th time (a shorter array leaves NULLs at the end, an empty
+    range gives no rows, NaN becomes NULL).
     """
     keys = list(keys)
     n = F.greatest(F.ceil((F.col("end") - F.col("start")) / F.col("interval")).cast("int"), F.lit(0))
-    with_idx = payload.select(*keys, "start", "interval", *variables,
-                              F.explode(F.sequence(F.lit(0), n - 1)).alias("__i")).where(F.col("__i") < n)
+    steps = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    with_idx = payload.select(*keys, "start", "interval", *variables, F.explode(steps).alias("__i"))
     return with_idx.select(
         *keys,
         from_epoch_seconds(F.col("start") + F.col("__i").cast("bigint") * F.col("interval")).alias("time"),
-        *[F.try_element_at(F.col(v), F.col("__i") + 1).alias(v) for v in variables])
+        *[F.nanvl(F.try_element_at(F.col(v), F.col("__i") + 1), F.lit(None).cast("double")).alias(v) for v in variables])
 
 
 def hourly_payload(hourly: DataFrame, variables: Sequence[str], keys: Sequence[str] = ("station",),

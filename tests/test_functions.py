@@ -74,3 +74,39 @@ def test_chunks(spark):
     rows = chunk_table(r, 60).orderBy("chunk").collect()
     last2 = [(str(x.chunk_start), str(x.chunk_end)) for x in rows[-2:]]
     assert last2 == [("2024-03-03", "2024-05-02"), ("2024-05-03", "2024-05-20")]
+
+
+def test_epa_mode_at_every_band_edge(spark):
+    """Both ends of every band of all five pollutants, one step inside and one step beyond."""
+    for pol, bands in A.BANDS.items():
+        step = A.EPA_PRECISION[pol]
+        rows = [(round(x, 1), i) for lo, hi, ilo, ihi in bands for x, i in ((lo, ilo), (hi, ihi))]
+        rows += [(round(hi + step / 2, 2), ihi) for _, hi, _, ihi in bands[:-1]]  # truncated back to the edge
+        df = spark.createDataFrame([(float(x), i) for x, i in rows], "c double, want long")
+        got = df.select("c", "want", A.subindex("c", bands, mode="epa", precision=step).alias("got")).collect()
+        assert [(r.c, r.got) for r in got] == [(r.c, r.want) for r in got], pol
+    odd = spark.createDataFrame([(-0.1,), (None,)], "c double").select(A.subindex("c", A.BANDS["pm2_5"], mode="epa", precision=0.1).alias("i"))
+    assert [r.i for r in odd.collect()] == [None, None]
+
+
+def test_payload_explode_of_empty_and_unequal_payloads(spark):
+    from aerolith.sources.files import payload_explode
+
+    df = spark.createDataFrame([(1, 0, 0, 3600, [1.0], [2.0]), (2, 3600, 0, 3600, [1.0], []), (3, 0, 7200, 3600, [1.0], [float("nan"), 4.0]),
+                                (4, 0, 3600, 3600, None, [])],
+                               "station long, start long, end long, interval long, a array<double>, b array<double>")
+    got = payload_explode(df, ["a", "b"]).orderBy("station", "time").collect()
+    assert [(r.station, r.time.hour, r.a, r.b) for r in got] == [(3, 0, 1.0, None), (3, 1, None, 4.0), (4, 0, None, None)]
+
+
+def test_shared_folder_must_be_named():
+    import pytest
+
+    from aerolith.config import checkpoint_dir
+
+    class Nothing:
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Nothing)
