@@ -3,15 +3,16 @@
 A feature table ``root/name/v<version>`` is Parquet partitioned by ``date`` (the UTC
 day of the event time).  Reads are column-pruned and partition-pruned by Spark.
 
-* ``upsert`` (S7, D19): last write wins per primary key.  Only the days touched by the
-  new rows are rewritten: old rows of those days are unioned with the new rows, one row
-  per key is kept (``max_by`` on a write sequence, a grouped aggregate, so a hot key
-  is combined map-side), and the result overwrites exactly those ``date`` partitions
-  (dynamic partition overwrite).  The merged days are first materialised in the
-  shared checkpoint folder, so the table is never overwritten while it is being read
-  and a lost executor recomputes from the checkpoint, not from the table.
-* ``incremental_rows`` (P13): rows newer than the stored maximum time (the high-water
-  mark), computed from the newest partition only.
+* ``upsert`` (S7, D19): last write wins per primary key, also within the first batch.  Only
+  the days touched by the new rows are read and rewritten: old rows of those days are
+  unioned with the new rows, one row per key is kept (``max_by`` on a write sequence, a
+  grouped aggregate, so a hot key is combined map-side; of equal keys in one batch the
+  largest row wins, whatever the order of tasks), and the result overwrites exactly those
+  ``date`` partitions (dynamic partition overwrite).  The merged days are first written
+  to the shared checkpoint folder, so the table is never overwritten while it is being
+  read; that copy is deleted afterwards.
+* ``incremental_rows`` (P13): rows newer than the stored maximum time (the high-water mark).
+* ``since`` / ``on_days``: reads that prune to the dates they need.
 """
 
 from __future__ import annotations
@@ -48,26 +49,53 @@ def with_date(df: DataFrame, time_col: str = "time") -> DataFrame:
     return df.withColumn(DATE, F.to_date(F.col(time_col)))
 
 
+def days_of(df: DataFrame) -> list:
+    """The distinct dates of a batch, oldest first (one value a day)."""
+    return sorted(r[0] for r in df.select(DATE).distinct().collect() if r[0] is not None)
+
+
+def on_days(table: DataFrame, days: list) -> DataFrame:
+    """Rows of the given dates: literals, so that only their partitions are listed and read."""
+    return table.where(F.col(DATE).isin([F.lit(d) for d in days])) if days else table.limit(0)
+
+
+def since(table: DataFrame, day) -> DataFrame:
+    """Rows from ``day`` on, partition-pruned."""
+    return table.where(F.col(DATE) >= F.lit(day))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], time_col: str = "time") -> DataFrame:
-    """Insert-or-replace ``df`` by primary ``keys`` into the table at ``path``; returns the new rows."""
+    """Insert-or-replace ``df`` by primary ``keys`` into the table at ``path``; returns the rows written.
+
+    ``df`` is evaluated once.  Rows without a time have no partition and are left out.
+    """
     keys = list(keys)
-    new = with_date(df, time_col) if DATE not in df.columns else df
-    old = read(spark, path)
-    if old is None:
-        new.write.mode("overwrite").partitionBy(DATE).parquet(path)
-        return new
-    days = new.select(DATE).distinct()
-    touched = old.join(days, DATE, "left_semi")
-    cols = [c for c in new.columns]
-    both = touched.select(*cols).withColumn("__seq", F.lit(0)).unionByName(new.withColumn("__seq", F.lit(1)))
+    new = (with_date(df, time_col) if DATE not in df.columns else df).where(F.col(DATE).isNotNull())
+    cols = new.columns
     rest = [c for c in cols if c not in keys]
-    merged = both.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.col("__seq")).alias("__r"))
-    merged = merged.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
+    row = F.struct(*[F.col(c) for c in rest])
+    arrived = scratch_path(spark, "upsert-new")
+    new.write.partitionBy(DATE).parquet(arrived)
+    new = spark.read.schema(new.schema).parquet(arrived).select(*cols)
+    days = days_of(new)
+    seq = new.withColumn("__seq", F.lit(1))
+    old = read(spark, path)
+    if old is not None:
+        seq = on_days(old, days).select(*cols).withColumn("__seq", F.lit(0)).unionByName(seq)
+    merged = seq.groupBy(*keys).agg(F.max_by(row, F.struct("__seq", row)).alias("__r"))
+    merged = merged.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest]).select(*cols)
     staged = scratch_path(spark, "upsert")
-    merged.write.mode("overwrite").partitionBy(DATE).parquet(staged)
-    (spark.read.parquet(staged).select(*cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path))
-    return new
+    merged.write.partitionBy(DATE).parquet(staged)
+    kept = spark.read.schema(merged.schema).parquet(staged).select(*cols)
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path)
+    delete(spark, staged)
+    delete(spark, arrived)
+    return on_days(read(spark, path), days).select(*cols)
 
 
 def max_time(table: DataFrame, time_col: str = "time", keys: Sequence[str] = ()) -> DataFrame:
@@ -136,12 +164,6 @@ def with_fallback(primary: DataFrame | None, fallback: DataFrame) -> DataFrame:
     return primary.unionByName(fb, allowMissingColumns=True)
 
 
-def local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-
-
 def write_run_metadata(runs: DataFrame, best: DataFrame, path: str, features, targets, train_rows: DataFrame) -> None:
     """One JSON record with the best model, its metrics, the feature and target lists
     and the number of training rows (a one-row DataFrame written with ``write.json``)."""

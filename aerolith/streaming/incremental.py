@@ -6,12 +6,14 @@ Here that is a file stream with ``trigger(availableNow=True)`` and a checkpoint:
 
 * ``hourly_rollup`` (T5): tumbling one-hour windows per key; the same code runs on a
   batch DataFrame or, after ``withWatermark``, on a stream (append mode).
-* ``run_incremental`` (T1, T2, T3): ``foreachBatch`` reads the last ``context_rows``
-  stored rows per key (partition- and column-pruned), unions the new hours, computes
-  W1-W3, keeps rows strictly after the stored high-water mark (strict mode) or
-  de-duplicates within a watermark (lateness mode), and upserts into the table (S7).
-  Each micro-batch is idempotent: replaying it after a failure rewrites the same
-  date partitions with the same rows.
+* ``run_incremental`` (T1, T2, T3): ``foreachBatch`` lands the raw rows in a date-partitioned
+  table (a repeated row replaces itself), aggregates the hours of the touched dates anew from
+  it, so an hour split over batches is whole, and recomputes the features of the touched
+  keys from their first touched hour on, with the rows before it as context.  Late rows
+  therefore reach their own hour and all later features.  With ``strict`` raw rows of
+  hours before the newest stored hour of their key are dropped instead and counted.
+  Reads are pruned to the dates they need.  A micro-batch that runs again after a
+  failure writes the same rows.
 * ``join_streams`` (T4): stream-stream inner join on key and hour, both watermarked.
 * ``alert_stream`` (T6): stateless filter of scored rows.
 """
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolith.config import LAG_HOURS, POLLUTANTS, ROLL_HOURS
+from aerolith.config import LAG_HOURS, POLLUTANTS, ROLL_HOURS, scratch_path
 from aerolith.functions import aqi as A
 from aerolith.functions.calendar import add_calendar
 from aerolith.operators.forecast import history_tail
@@ -68,45 +70,84 @@ def alert_stream(scored: DataFrame, aqi_col: str = "us_epa_aqi", threshold: floa
     return scored.where(A.is_alert(aqi_col, threshold))
 
 
-def feature_batch(batch: DataFrame, stored: DataFrame | None, keys: Sequence[str] = ("station",),
-                  time_col: str = "time", context_rows: int = max(max(LAG_HOURS), max(ROLL_HOURS)),
-                  pollutants: Sequence[str] = POLLUTANTS, strict: bool = True) -> DataFrame:
-    """Features of the new hourly rows using the last ``context_rows`` stored rows as context.
+def hourly_features(hourly: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
+                    pollutants: Sequence[str] = POLLUTANTS) -> DataFrame:
+    """Calendar, lag and rolling features of hourly rows (T2); whoever calls it adds context rows and drops them again."""
+    return lag_and_rolling(add_calendar(hourly, time_col), pollutants, keys=list(keys), time_col=time_col, strategy="plain")
 
-    With ``strict`` rows at or before the stored maximum are dropped (the reference's
-    rule, D17); otherwise every new row is kept and later upserted.
+
+def context_before(hourly: DataFrame, first: DataFrame, first_day, keys: Sequence[str], time_col: str, rows: int) -> DataFrame:
+    """The last ``rows`` hours before each key's first touched hour (``first``: keys, __first, __first_day).
+
+    Older dates are read only as far back as some key still lacks rows: the look-back doubles.
     """
+    from datetime import date, timedelta
+
     keys = list(keys)
-    cols = batch.columns
-    if stored is not None:
-        ctx = history_tail(stored.select(*cols), context_rows, keys, time_col).withColumn("__ctx", F.lit(True))
-        fresh = batch.join(stored.select(*keys, time_col), [*keys, time_col], "left_anti")
-        u = ctx.unionByName(fresh.withColumn("__ctx", F.lit(False)))
-    else:
-        u = batch.withColumn("__ctx", F.lit(False))
-    feats = lag_and_rolling(add_calendar(u, time_col), pollutants, keys=keys, time_col=time_col, strategy="plain")
-    new = feats.where(~F.col("__ctx")).drop("__ctx")
-    if strict and stored is not None:
-        new = store.incremental_rows(new, stored, time_col)
-    return new
+    oldest = hourly.agg(F.min(store.DATE)).first()[0] or first_day
+    back = 2
+    while True:
+        start = max(oldest, first_day - timedelta(days=back)) if first_day.toordinal() - back > date.min.toordinal() else oldest
+        own = store.since(hourly, start).join(first, keys).where(F.col(time_col) < F.col("__first")).drop("__first", "__first_day")
+        tail = history_tail(own, rows, keys, time_col)
+        if start <= oldest:
+            return tail
+        short = first.join(tail.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), keys, "left").where(F.coalesce("__n", F.lit(0)) < rows)
+        if short.isEmpty():
+            return tail
+        back *= 2
 
 
 def run_incremental(spark: SparkSession, source_path: str, schema, table_path: str, checkpoint: str,
-                    to_hourly, keys: Sequence[str] = ("station",), time_col: str = "time",
-                    strict: bool = True) -> StreamingQuery:
+                    to_hourly, keys: Sequence[str] = ("station",), time_col: str = "time", strict: bool = False,
+                    raw_keys: Sequence[str] = ("event_id",), raw_time: str = "ts", key_columns: dict | None = None,
+                    pollutants: Sequence[str] = POLLUTANTS, files_per_batch: int | None = None,
+                    dropped: list | None = None) -> StreamingQuery:
     """File stream of raw readings -> hourly rows -> features -> keyed upsert, once per trigger.
 
-    ``to_hourly(df)`` turns a micro-batch of raw rows into hourly rows (e.g. the
-    stand-in aggregation).  ``availableNow`` processes what has landed and stops, the
-    checkpoint remembers which files were done.
+    ``to_hourly(df)`` turns raw rows into hourly rows with ``keys`` and ``time_col``; ``key_columns`` gives
+    each key as a Column over raw rows (default: the column of that name).  Three tables lie under
+    ``table_path``: ``raw``, ``hourly`` and the features themselves, at ``table_path`` / features.
+    ``availableNow`` processes what has landed and stops, the checkpoint remembers which files were done.
+    ``dropped`` takes the number of rows that ``strict`` dropped, a number for each batch.
     """
-    stream = spark.readStream.schema(schema).parquet(source_path)
+    stream = spark.readStream.schema(schema)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", str(files_per_batch))
+    keys = list(keys)
+    raw_key = {k: (key_columns or {}).get(k, F.col(k)) for k in keys}
+    hour = F.date_trunc("hour", F.col(raw_time)).cast("timestamp_ntz")
+    raw_path, hourly_path, feature_path = (f"{table_path.rstrip('/')}/{n}" for n in ("raw", "hourly", "features"))
+    context_rows = max(max(LAG_HOURS), max(ROLL_HOURS))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        hourly = to_hourly(batch)
-        stored = store.read(spark, table_path)
-        new = feature_batch(hourly, stored, keys, time_col, strict=strict)
-        store.upsert(spark, new, table_path, [*keys, time_col], time_col)
-
-    return (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+        batch = batch.withColumns({f"__key_{k}": c for k, c in raw_key.items()}).withColumn("__hour", hour)
+        stored = store.read(spark, hourly_path)
+        if strict and stored is not None:
+            marks = store.max_time(stored, time_col, keys).select(*[F.col(k).alias(f"__key_{k}") for k in keys], "__hw")
+            with_mark = batch.join(marks, [f"__key_{k}" for k in keys], "left")
+            on_time = F.col("__hw").isNull() | (F.col("__hour") >= F.col("__hw"))
+            if dropped is not None:
+                dropped.append(with_mark.where(~on_time).count())
+            batch = with_mark.where(on_time).select(*batch.columns)
+        landed = scratch_path(spark, "landed")
+        batch.write.parquet(landed)
+        batch = spark.read.schema(batch.schema).parquet(landed)
+        if not batch.isEmpty():
+            first = batch.groupBy(*[F.col(f"__key_{k}").alias(k) for k in keys]).agg(F.min("__hour").alias("__first"))
+            first = first.withColumn("__first_day", F.to_date("__first"))
+            store.upsert(spark, batch.drop("__hour", *[f"__key_{k}" for k in keys]), raw_path, raw_keys, raw_time)
+            days = store.days_of(batch.select(F.to_date(F.col(raw_time)).alias(store.DATE)))
+            hourly = to_hourly(store.on_days(store.read(spark, raw_path), days).drop(store.DATE))
+            store.upsert(spark, hourly, hourly_path, [*keys, time_col], time_col)
+            cols = hourly.columns
+            table = store.read(spark, hourly_path)
+            affected = store.since(table, days[0]).join(first, keys).where(F.col(time_col) >= F.col("__first")).select(*cols)
+            context = context_before(table, first, days[0], keys, time_col, context_rows).select(*cols)
+            both = context.withColumn("__ctx", F.lit(True)).unionByName(affected.withColumn("__ctx", F.lit(False)))
+            feats = hourly_features(both, keys, time_col, pollutants)
+            store.upsert(spark, feats.where(~F.col("__ctx")).drop("__ctx"), feature_path, [*keys, time_col], time_col)
+        store.delete(spark, landed)
+
+    return (stream.parquet(source_path).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -37,32 +37,70 @@ def test_incremental_rows_high_water(spark):
     assert store.incremental_rows(df, None).count() == 2
 
 
+def _hourly(batch):
+    b = batch.select((F.col("user_id") % 5).alias("station"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time"), "value")
+    return b.groupBy("station", "time").agg(F.avg("value").alias("pm2_5"), F.max("value").alias("pm10"), F.min("value").alias("nitrogen_dioxide"),
+                                           F.count("value").cast("double").alias("sulphur_dioxide"), F.sum("value").alias("carbon_monoxide"))
+
+
+def _rows(df, cols):
+    return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(cols).collect())
+
+
+def _land(spark, root, parts):
+    """One file for each batch, in the order of their modification times."""
+    import time
+
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/src")
+        time.sleep(1.1 if i < len(parts) - 1 else 0)
+
+
 def test_stream_equals_batch(spark):
-    """Three landed days processed as a file stream give the batch feature rows."""
+    """One stream of three batches cut in the middle of hours, with late and repeated rows, gives the batch's features."""
     root = scratch_path(spark, "t-stream")
-    src, table, ckpt = f"{root}/src", f"{root}/table", f"{root}/ckpt"
-    ev = fx.table(spark, SF_SMALL, "events").where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"))
-    for lo, hi in [("2024-01-01", "2024-01-04"), ("2024-01-04", "2024-01-07"), ("2024-01-07", "2024-01-10")]:
-        part = ev.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
-        part.write.mode("overwrite").parquet(f"{src}/{lo}")
-
-    def to_hourly(batch):
-        b = batch.select((F.col("user_id") % 5).alias("station"), F.date_trunc("hour", "ts").cast("timestamp_ntz")
-                         .alias("time"), "value")
-        return b.groupBy("station", "time").agg(F.avg("value").alias("pm2_5"), F.max("value").alias("pm10"),
-                                               F.min("value").alias("nitrogen_dioxide"),
-                                               F.count("value").cast("double").alias("sulphur_dioxide"),
-                                               F.sum("value").alias("carbon_monoxide"))
-
-    for lo in ["2024-01-01", "2024-01-04", "2024-01-07"]:
-        q = I.run_incremental(spark, f"{src}/{lo}", fx.EVENTS_SCHEMA, table, f"{ckpt}/{lo}", to_hourly)
-        q.awaitTermination()
-    streamed = store.read(spark, table).drop("date")
-    batch = I.feature_batch(to_hourly(ev), None)
+    ts = lambda x: F.lit(x).cast("timestamp_ntz")
+    ev = fx.table(spark, SF_SMALL, "events").where(F.col("ts") < ts("2024-01-10"))
+    late = (F.col("event_id") % 7 == 0) & (F.col("ts") >= ts("2024-01-02")) & (F.col("ts") < ts("2024-01-04 03:30:00"))
+    one = ev.where((F.col("ts") < ts("2024-01-04 03:30:00")) & ~late)
+    two = ev.where((F.col("ts") >= ts("2024-01-04 03:30:00")) & (F.col("ts") < ts("2024-01-07 15:20:00"))).unionByName(one.where("event_id % 11 = 0"))
+    three = ev.where(F.col("ts") >= ts("2024-01-07 15:20:00")).unionByName(ev.where(late))
+    _land(spark, root, [one, two, three])
+    q = I.run_incremental(spark, f"{root}/src", fx.EVENTS_SCHEMA, f"{root}/table", f"{root}/ckpt", _hourly,
+                          key_columns={"station": F.col("user_id") % 5}, files_per_batch=1)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3
+    batch = I.hourly_features(_hourly(ev))
     cols = sorted(batch.columns)
-    a = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in streamed.select(cols).collect())
-    b = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in batch.select(cols).collect())
-    assert a == b
+    streamed = store.read(spark, f"{root}/table/features")
+    assert _rows(streamed, cols) == _rows(batch, cols)
+
+
+def test_strict_stream_drops_late_rows_by_key_and_counts_them(spark):
+    root = scratch_path(spark, "t-strict")
+    schema = "event_id long, user_id long, ts timestamp_ntz, value double"
+    rows = lambda *r: spark.createDataFrame([(i, u, f"2024-01-01 {t}:00", v) for i, u, t, v in r], "event_id long, user_id long, t string, value double") \
+        .select("event_id", "user_id", F.col("t").cast("timestamp_ntz").alias("ts"), "value")
+    _land(spark, root, [rows((1, 0, "05:10", 2.0), (2, 1, "01:10", 1.0)),
+                        rows((3, 0, "05:50", 10.0), (4, 0, "03:00", 7.0), (5, 1, "02:00", 4.0))])
+    dropped = []
+    I.run_incremental(spark, f"{root}/src", spark.createDataFrame([], schema).schema, f"{root}/table", f"{root}/ckpt", _hourly, strict=True,
+                      key_columns={"station": F.col("user_id") % 5}, files_per_batch=1, dropped=dropped).awaitTermination()
+    got = {(r.station, r.time.hour): r.carbon_monoxide for r in store.read(spark, f"{root}/table/features").collect()}
+    assert got == {(0, 5): 12.0, (1, 1): 1.0, (1, 2): 4.0}  # the split hour is whole, the slower station keeps its rows
+    assert dropped == [1]
+
+
+def test_store_reads_only_the_dates_it_needs(spark):
+    path = scratch_path(spark, "t-prune")
+    df = spark.range(240).select((F.col("id") % 3).alias("station"), F.timestamp_add("HOUR", "id", F.lit("2024-01-01").cast("timestamp_ntz")).alias("time"), F.lit(1.0).alias("v"))
+    store.upsert(spark, df.unionByName(df), path, ["station", "time"])
+    table = store.read(spark, path)
+    assert table.count() == 240  # the first batch is one row per key, too
+    days = store.days_of(table)
+    for part in (store.on_days(table, days[-2:]), store.since(table, days[-2])):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan and part.count() == 48
 
 
 def test_driver_contract(spark):
