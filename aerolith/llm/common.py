@@ -39,6 +39,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing lazy reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of a few numbers each that may be broadcast; a larger side is joined by a shuffle.
+BROADCAST_ROWS = 1 << 21
+
+
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df``, a written table of narrow rows, marked for broadcast if it was counted to be at most BROADCAST_ROWS long."""
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+
+
 def width(spark: SparkSession) -> int:
     """Partitions for explicit range or hash partitioning: the session's shuffle width."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

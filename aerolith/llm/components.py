@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import written
+from aerolith.llm.common import discard, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -32,6 +32,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.where("u <> v").distinct()
 
 
+#: Links that one task writes.
+TASK_LINKS = 200_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """u, root for every node of ``links`` (u, v: longs, u <> v) but the roots; a root is its component's least node."""
     edges = written(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
@@ -40,5 +44,6 @@ def components(links: DataFrame) -> DataFrame:
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state or not now[0]:
             return edges.select("u", F.col("v").alias("root"))
-        state = now
-        edges = written(_small_star(_large_star(edges)), "links")
+        state, last = now, edges
+        edges = written(_small_star(_large_star(last)).coalesce(max(1, now[0] // TASK_LINKS)), "links")
+        discard(last)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import op9_kernels as kernels
-from aerolith.llm.common import table, width, written
+from aerolith.llm.common import discard, small, table, width, written
 from aerolith.llm.components import components
 from aerolith.llm.textvec import U, hashed, pieces
 
@@ -73,14 +73,19 @@ def featurized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def buckets(nodes: DataFrame) -> DataFrame:
     """bucket, uid, n_blocks: the members of the buckets of two texts or more, one bucket for each set of members."""
-    entries = nodes.where("sketch is not null").select("uid", "n_tokens", F.explode("sketch").alias("bucket"))
-    sets = (entries.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens"), F.bit_xor(F.xxhash64("uid")).alias("x"),
-        F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("y")).where("n > 1")
+    entries = nodes.where("sketch is not null").select("uid", F.explode("sketch").alias("bucket"))
+    shared = entries.groupBy(F.col("bucket").alias("__shared")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(entries.join(shared, F.col("bucket") == F.col("__shared")).select("bucket", "uid", "n"), "near-shared")
+    sizes = nodes.select(F.col("uid").alias("__uid"), "n_tokens")
+    sets = (members.join(sizes, F.col("uid") == F.col("__uid")).groupBy("bucket").agg(
+        F.first("n").alias("n"), F.sum("n_tokens").alias("tokens"), F.bit_xor(F.xxhash64("uid")).alias("x"),
+        F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("y"))
         .groupBy("n", "tokens", "x", "y").agg(F.min("bucket").alias("__bucket")))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
     kept = sets.select("__bucket", blocks.alias("n_blocks"))
-    return written(entries.join(kept, F.col("bucket") == F.col("__bucket")).select("bucket", "uid", "n_blocks"), "near-buckets")
+    out = written(members.join(kept, F.col("bucket") == F.col("__bucket")).select("bucket", "uid", "n_blocks"), "near-buckets")
+    discard(members)
+    return out
 
 
 def verified(members: DataFrame, features: DataFrame) -> DataFrame:
@@ -88,8 +93,8 @@ def verified(members: DataFrame, features: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("uid"), F.col("n_blocks")).cast("int")
     dealt = members.select("bucket", "uid", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other"))
     dealt = dealt.select("bucket", "uid", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    needed = members.select(F.col("uid").alias("__u")).distinct()
-    tokens = features.select("rid", "tokens").join(needed, F.col("rid") == F.col("__u"), "left_semi")
+    needed = written(members.select(F.col("uid").alias("__u")).distinct(), "near-needed")
+    tokens = features.select("rid", "tokens").join(small(needed), F.col("rid") == F.col("__u"), "left_semi")
     task = ["bucket", "low", "high"]
     rows = dealt.join(tokens, F.col("uid") == F.col("rid")).select(*task, "uid", "tokens")
     n = width(features.sparkSession)
@@ -123,11 +128,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     features = featurized(docs, id_col, text_col)
     nodes = written(features.groupBy("key").agg(
         F.min("rid").alias("uid"), F.first("sketch").alias("sketch"), F.first("n_tokens").alias("n_tokens")), "near-nodes")
-    found = components(verified(buckets(nodes), features))
+    members = buckets(nodes)
+    found = components(verified(members, features))
     named = nodes.select(F.col("key").alias("__key"), "uid").join(found, F.col("uid") == F.col("u"), "left").select(
         "__key", F.coalesce("root", "uid").alias("root"))
     rows = written(features.select("rid", "__id", "key", "has_text").join(named, F.col("key") == F.col("__key")).select(
         "rid", "__id", "__key", "has_text", "root"), "near-rows")
+    discard(features, nodes, members, found)
     order = F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__key").alias("key"), F.col("rid").alias("rid"))
     # one row for each identifier and key of a class first, so that the count of a row's equals comes along
     best = (rows.groupBy("root", "__id", "__key").agg(F.min(order).alias("__first"), F.count(F.lit(1)).alias("__n"))
@@ -140,18 +147,22 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class of ``docs``, with all columns.
 
-    Rows are found again by identifier and key; rows that repeat both are one class, and one of them stays.
+    Rows that go are found again by identifier and key; of rows that repeat those of a row that stays, one stays.
     """
-    found = classes(docs, id_col, text_col)
-    keep = written(found.where("kept and has_text").select(F.col("__id").alias("__kept_id"), F.col("__key").alias("__kept_key"), "n_same"), "near-kept")
+    found = classes(docs, id_col, text_col).where("has_text")
+    pair = [F.col("__id").alias("__gone_id"), F.col("__key").alias("__gone_key")]
+    stay = found.where("kept").select(*pair, "n_same")
+    gone = written(found.groupBy("__id", "__key").agg(F.max("kept").alias("stays")).where("not stays").select(*pair), "near-gone")
+    again = written(stay.where("n_same > 1"), "near-again")
     rows = keyed(docs, text_col)
-    same = rows["__row_key"].eqNullSafe(keep["__kept_key"]) & rows[id_col].cast("long").eqNullSafe(keep["__kept_id"])
-    kept = rows.join(keep, same)
-    once = kept.where("n_same = 1").select(*docs.columns)
-    again = kept.where("n_same > 1")
-    if not keep.where("n_same > 1").isEmpty():
-        once = once.unionByName(again.dropDuplicates(["__kept_key", "__kept_id"]).select(*docs.columns))
-    return once.unionByName(docs.where(F.col(text_col).isNull()))
+    same = lambda t: rows["__row_key"].eqNullSafe(t["__gone_key"]) & rows[id_col].cast("long").eqNullSafe(t["__gone_id"])
+    gone = small(gone)
+    kept = rows.join(gone, same(gone), "left_anti")
+    if again.isEmpty():
+        return kept.select(*docs.columns)
+    marked = kept.join(again, same(again), "left")
+    one = marked.where("__gone_key is not null").dropDuplicates(["__gone_id", "__gone_key"])
+    return marked.where("__gone_key is null").select(*docs.columns).unionByName(one.select(*docs.columns))
 
 
 def keyed(docs: DataFrame, text_col: str) -> DataFrame:
