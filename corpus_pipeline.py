@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import op1_toxicity, op6_shard, op7_decontaminate, op8_mix, op9_orderminhash
-from aerolith.llm.common import table, written
+from aerolith.llm.common import small, table, written
 
 ORACLE_SQL = None
 
@@ -51,9 +51,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rid, own = fresh("__rid", docs.columns), fresh("__own_rid", docs.columns)
     stored = written(docs.withColumn(rid, F.monotonically_increasing_id()), "mix-docs")
     rows = written(op8_mix.queue_rows(stored, [rid]), "mix-rows")
-    copies = op8_mix.mixed(rows, [rid]).where("taken > 0").select(F.col(rid).alias(own), (F.col("taken") / F.col("size")).cast("int").alias("copies"))
     again = fresh("__copies", docs.columns)
-    taken = stored.join(copies.withColumnRenamed("copies", again), F.col(rid) == F.col(own))
+    copies = op8_mix.mixed(rows, [rid]).where("taken > 0").select(F.col(rid).alias(own), (F.col("taken") / F.col("size")).cast("int").alias(again))
+    taken = stored.join(small(written(copies, "mix-copies")), F.col(rid) == F.col(own))
     return taken.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(again)))).select(*docs.columns)
 
 
