@@ -41,12 +41,7 @@ def fill_zero(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.na.fill(0.0, subset=list(cols) if cols else None).na.fill(0, subset=list(cols) if cols else None)
 
 
-def dedupe_latest(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """Keep one row per ``keys``: the one with the largest ``order_col`` (ties: any).
-
-    Uses a grouped ``max_by`` over a struct rather than a window so that a hot key is
-    pre-aggregated map-side instead of sorted in one task.
-    """
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("__row")
-    return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
+def column_or(df: DataFrame, name: str, other: str | None = None, default: float | None = None):
+    """The column ``name``; where the table lacks it, the column ``other``; where it lacks both, ``default`` as double."""
+    found = next((c for c in (name, other) if c in df.columns), None)
+    return F.col(found) if found else F.lit(default).cast("double")

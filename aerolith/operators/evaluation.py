@@ -78,26 +78,13 @@ def aqi_mae(df: DataFrame, pred_prefix: str = "pred_", group: Sequence[str] = ()
                                   F.avg(F.abs(truth - pred).cast("double")).alias("aqi_mae"))
 
 
-def summary(df: DataFrame, model_name: str, targets: Sequence[str] = POLLUTANTS, pred_prefix: str = "pred_",
-            places: int = 4) -> DataFrame:
-    """A11 + A12: averages over targets and the index MAE, rounded half-even to ``places``."""
-    m = metrics(df, targets, pred_prefix).agg(F.avg("mae").alias("mae"), F.avg("rmse").alias("rmse"),
-                                              F.avg("r2").alias("r2"))
-    a = aqi_mae(df, pred_prefix).select("aqi_mae")
-    # Both sides are single-row global aggregates: an equi-join on a constant, size proven.
-    j = m.withColumn("__g", F.lit(0)).join(F.broadcast(a.withColumn("__g", F.lit(0))), "__g")
-    return j.select(F.lit(model_name).alias("model_name"),
-                    *[F.bround(c, places).alias(c) for c in ("mae", "rmse", "r2", "aqi_mae")])
-
-
 def summaries(df: DataFrame, models: dict[str, str], targets: Sequence[str] = POLLUTANTS,
               places: int = 4) -> DataFrame:
     """A11 + A12 for several models in one pass.
 
     ``models`` maps a model name to the prefix of its prediction columns
     (``<prefix><target>``).  Rows are unpivoted to (model, target, actual, predicted)
-    by one generator; one aggregation per (model, target) and one per model follow,
-    so the input plan runs once however many models are compared.
+    by one generator; one aggregation per (model, target) and one per model follow.
     """
     long = df.select(inline_sql([[(_lit(m), "model_name"), (_lit(t), "target"), (f"CAST(`{t}` AS DOUBLE)", "actual"),
                                   (f"CAST(`{pre}{t}` AS DOUBLE)", "predicted")]
@@ -107,11 +94,12 @@ def summaries(df: DataFrame, models: dict[str, str], targets: Sequence[str] = PO
         F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"),
         r2_expr(F.sum(err * err), F.var_pop("actual") * F.count(F.lit(1))).alias("r2"))
     avg = per_target.groupBy("model_name").agg(*[F.avg(c).alias(c) for c in ("mae", "rmse", "r2")])
-    truth = overall_aqi_sql()
-    aqi_long = df.select(inline_sql([[(_lit(m), "model_name"), (
-        f"CAST(abs(({truth}) - ({overall_aqi_sql(*[f'{pre}{p}' for p in POLLUTANTS])})) AS DOUBLE)", "__e")]
-        for m, pre in models.items()]))
-    aqi = aqi_long.groupBy("model_name").agg(F.avg("__e").alias("aqi_mae"))
+    # The truth's index is one column of the row, and each model's index is computed on its own unpivoted row.
+    wide = df.withColumn("__truth", overall_aqi())
+    rows = wide.select("__truth", inline_sql([[(_lit(m), "model_name"), *[(f"`{pre}{p}`", f"__p_{p}") for p in POLLUTANTS]]
+                                              for m, pre in models.items()]))
+    off = F.abs(F.col("__truth") - overall_aqi(*[f"__p_{p}" for p in POLLUTANTS])).cast("double")
+    aqi = rows.groupBy("model_name").agg(F.avg(off).alias("aqi_mae"))
     return avg.join(aqi, "model_name").select(
         "model_name", *[F.bround(c, places).alias(c) for c in ("mae", "rmse", "r2", "aqi_mae")])
 

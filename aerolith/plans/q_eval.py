@@ -172,3 +172,41 @@ def residuals_by_hour(spark, sf_dir):
     """Residual mean/std by hour of day per pollutant."""
     t = test_with_predictions(spark, sf_dir)
     return round_doubles(E.residuals_by(t, calendar_columns()["hour"]))
+
+
+def _by_band(col: str, width: int) -> str:
+    return f"""{S.features_ctes(_SPLIT, _test_cte(), _long_cte())},
+banded AS (SELECT l.*, CAST(floor(t.{col} / CAST({width} AS DOUBLE)) * {width} AS BIGINT) AS "by" FROM long l JOIN test t USING (station, time))
+SELECT target, "by", count(*) AS n, {S.q6('avg(actual - predicted)')} AS mean_residual, {S.q6('stddev_samp(actual - predicted)')} AS std_residual
+FROM banded GROUP BY ALL"""
+
+
+def _residuals_by_band(spark, sf_dir, col, width):
+    t = test_with_predictions(spark, sf_dir)
+    return round_doubles(E.residuals_by(t, (F.floor(F.col(col) / F.lit(float(width))) * width).cast("bigint")))
+
+
+@query("residuals_by_temperature", sql=_by_band("temperature_2m", 20))
+def residuals_by_temperature(spark, sf_dir):
+    """Residual mean/std by temperature band per pollutant."""
+    return _residuals_by_band(spark, sf_dir, "temperature_2m", 20)
+
+
+@query("residuals_by_humidity", sql=_by_band("relative_humidity_2m", 10))
+def residuals_by_humidity(spark, sf_dir):
+    """Residual mean/std by humidity band per pollutant."""
+    return _residuals_by_band(spark, sf_dir, "relative_humidity_2m", 10)
+
+
+@query("history_appended", sql=_runs_sql(f"""SELECT model_name, experiment_note, {S.r6('mae', 'mae')} FROM runs
+UNION ALL SELECT model_name, 'second run' AS experiment_note, {S.r6('mae', 'mae')} FROM runs"""))
+def history_appended(spark, sf_dir):
+    """Two runs appended to the history table, read back as one."""
+    from aerolith.config import scratch_path
+    from aerolith.sources.store import append_history
+
+    path = scratch_path(spark, "history")
+    run = runs(spark, sf_dir)
+    append_history(spark, run, path)
+    append_history(spark, spark.read.parquet(path).withColumn("experiment_note", F.lit("second run")), path)
+    return round_doubles(spark.read.parquet(path).select("model_name", "experiment_note", "mae"))

@@ -45,7 +45,7 @@ def src_csv_preamble(spark, sf_dir):
     path = scratch_path(spark, "air-csv")
     cols = ["time", "station", *AIR_COLUMNS]
     files.write_csv_preamble(spark, a.select(*cols), path, [UNIT_HEADER[c] for c in cols], PREAMBLE)
-    names = [files.clean_col_name(h) for h in files.header_names(spark, path)]
+    names = list(files.normalise_names(files.header_names(spark, path)).clean.values())
     schema = StructType([StructField(n, TimestampNTZType() if n == "time" else LongType() if n == "station"
                                      else DoubleType()) for n in names])
     return round_doubles(files.read_csv_preamble(spark, path, schema))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,27 +22,41 @@ from aerolith.functions.timeutil import from_epoch_seconds
 DATA_LINE = r"^\d{4}-\d{2}-\d{2}T"
 CSV_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 NAME_RULE = re.compile(r"^[a-z][a-z0-9_]*$")
+_SEPARATORS = str.maketrans(" -", "__")
 
 
-def clean_col_name(name: str) -> str:
-    """Lower case, cut at the first '(', trim, spaces and '-' to '_'."""
-    return name.lower().split("(")[0].strip().replace(" ", "_").replace("-", "_")
+class Names(NamedTuple):
+    """What a table's column names become, and what is wrong with them."""
+
+    clean: dict[str, str]
+    collisions: dict[str, list[str]]  # clean name -> the columns that share it
+    invalid: list[str]  # clean names that break NAME_RULE
+
+
+def normalise_names(columns: Sequence[str]) -> Names:
+    """P3 + F17: the label before the unit in parentheses, as lower-case words joined by ``_``."""
+    clean = {}
+    for column in columns:
+        label, _, _unit = column.partition("(")
+        clean[column] = label.strip().translate(_SEPARATORS).lower()
+    shared: dict[str, list[str]] = {}
+    for column in columns:
+        shared.setdefault(clean[column], []).append(column)
+    return Names(clean, {n: c for n, c in shared.items() if len(c) > 1}, [n for n in shared if not NAME_RULE.match(n)])
 
 
 def rename_clean(df: DataFrame, validate: bool = True) -> DataFrame:
     """P3 + F17 on a DataFrame's schema (driver-side names only, no data movement).
 
-    Raises on two columns cleaning to the same name or on a name breaking the rule
+    Raises on two columns with one clean name or on a name breaking the rule
     ``^[a-z][a-z0-9_]*$`` (the reference leaves both unchecked).
     """
-    names = [clean_col_name(c) for c in df.columns]
-    if len(set(names)) != len(names):
-        raise ValueError(f"cleaned column names collide: {names}")
-    if validate:
-        bad = [n for n in names if not NAME_RULE.match(n)]
-        if bad:
-            raise ValueError(f"column names break ^[a-z][a-z0-9_]*$: {bad}")
-    return df.toDF(*names)
+    names = normalise_names(df.columns)
+    if names.collisions:
+        raise ValueError(f"cleaned column names collide: {names.collisions}")
+    if validate and names.invalid:
+        raise ValueError(f"column names break ^[a-z][a-z0-9_]*$: {names.invalid}")
+    return df.withColumnsRenamed(names.clean)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, time_format: str | None = None) -> DataFrame:

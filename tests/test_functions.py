@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from aerolith.functions import aqi as A
 from aerolith.functions.calendar import add_calendar
-from aerolith.sources.files import chunk_table, clean_col_name, rename_clean
+from aerolith.sources.files import chunk_table, normalise_names, rename_clean
 
 
 def _col(spark, values, name="x", t="double"):
@@ -58,8 +58,8 @@ def test_weekday_and_weekend(spark):
 
 
 def test_name_cleaning(spark):
-    assert clean_col_name("PM2_5 (μg/m³)") == "pm2_5"
-    assert clean_col_name("Wind Speed-10m (km/h)") == "wind_speed_10m"
+    assert normalise_names(["PM2_5 (μg/m³)"]).clean["PM2_5 (μg/m³)"] == "pm2_5"
+    assert normalise_names(["Wind Speed-10m (km/h)"]).clean["Wind Speed-10m (km/h)"] == "wind_speed_10m"
     df = spark.createDataFrame([(1.0, 2.0)], "`A (x)` double, `a` double")
     try:
         rename_clean(df)
@@ -110,3 +110,17 @@ def test_shared_folder_must_be_named():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Nothing)
+
+
+def test_names_report_collisions_and_bad_names():
+    got = normalise_names(["A b (x)", "a-b (y)", "2m (°C)", "ok"])
+    assert got.collisions == {"a_b": ["A b (x)", "a-b (y)"]} and got.invalid == ["2m"]
+
+
+def test_column_or(spark):
+    from aerolith.operators.clean import column_or
+
+    df = spark.createDataFrame([(1.0, None), (2.0, 5.0)], "a double, b double")
+    rows = df.select(column_or(df, "b").alias("own"), column_or(df, "c", other="a").alias("other"), column_or(df, "c", "d", 7.0).alias("default"),
+                     column_or(df, "c", "d").alias("none")).collect()
+    assert [tuple(r) for r in rows] == [(None, 1.0, 7.0, None), (5.0, 2.0, 7.0, None)]
