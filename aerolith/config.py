@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -68,18 +70,25 @@ def get_session(master: str | None = None, app: str = "aerolith", shuffle_partit
     return spark
 
 
+@lru_cache(1)
+def _one_machine_dir() -> str:
+    return tempfile.mkdtemp(prefix="aerolith-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables, from ``spark.checkpoint.dir`` of the session.
 
-    Without it there is no folder that all executors are known to share, so this raises; a local
-    session names one when it is built.
+    Where it is unset, a local master (one process, as in tests) gets a temporary folder; on a cluster there is no
+    folder that all executors are known to share, so this raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d and spark.sparkContext.master.partition("[")[0] == "local":
+        d = _one_machine_dir()
     if not d:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
-    return d
+    return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

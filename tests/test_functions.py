@@ -99,14 +99,14 @@ def test_payload_explode_of_empty_and_unequal_payloads(spark):
     assert [(r.station, r.time.hour, r.a, r.b) for r in got] == [(3, 0, 1.0, None), (3, 1, None, 4.0), (4, 0, None, None)]
 
 
-def test_shared_folder_must_be_named():
+def test_shared_folder_must_be_named_on_a_cluster():
     import pytest
 
     from aerolith.config import checkpoint_dir
 
     class Nothing:
         conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})
-        sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None)})
+        sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None), "master": "local-cluster[2,1,1024]"})
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Nothing)
