@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aerolith.config import checkpoint_dir
+
 #: Words of the contracts: runs of anything but ASCII white space (fixed pattern).
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
@@ -15,20 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
-
-    There is no fallback to a local folder: on a cluster other executors could not read it.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return d.rstrip("/")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -66,20 +57,20 @@ def width(spark: SparkSession) -> int:
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, name: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` up to and with the row, by ``keys``, in ``order``; no key lands whole in one task.
 
-    Rows are range-partitioned by (keys, order), so a hot key spreads over many partitions.
-    Each partition sums its own rows; the sums of the partitions before it (one row for each
+    Rows are range-partitioned by (keys, order) and, among equal rows, by a row number, so neither a hot key nor a row
+    that repeats many times lands in one partition.  Each partition sums its own rows; the sums of the partitions before it (one row for each
     partition and key) are added.  Rows equal in ``order`` may swap places.  The result is a
     written table, so that the partition numbers are fixed.
     """
     spark = df.sparkSession
-    cols = [F.col(c) for c in [*keys, *order]]
+    cols = [F.col(c) for c in [*keys, *order, "__tie"]]
     placed = written(
-        df.repartitionByRange(width(spark), *cols).withColumn("__pid", F.spark_partition_id()), f"{name}-ranged")
+        df.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(width(spark), *cols).withColumn("__pid", F.spark_partition_id()), f"{name}-ranged")
     part = placed.groupBy(*keys, "__pid").agg(F.sum(value).alias("__sum"))
     before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     part = part.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__pid").alias("__bpid"),
                        F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"))
-    own = Window.partitionBy(*keys, "__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    own = Window.partitionBy(*keys, "__pid").orderBy(*order, "__tie").rowsBetween(Window.unboundedPreceding, 0)
     inside = placed.withColumn("__own", F.sum(value).over(own))
     cond = F.col("__pid") == F.col("__bpid")
     for i, k in enumerate(keys):

@@ -143,3 +143,20 @@ def test_running_sum_spreads_a_hot_key(spark):
     for r in got:
         run[r.k] += r.v
         assert r.s == run[r.k]
+
+
+def test_running_sum_spreads_a_row_that_repeats(spark):
+    df = spark.range(4000).selectExpr("'k' as k", "if(id < 3600, 5, id) as o", "1L as v")
+    got = running_sum(df, ["k"], ["o"], "v", "s", "t")
+    assert sorted(r.s for r in got.collect()) == list(range(1, 4001))
+    from aerolith.llm import common
+
+    seen = []
+    keep = common.written
+    try:
+        common.written = lambda d, name: seen.append(keep(d, name)) or seen[-1]
+        running_sum(df, ["k"], ["o"], "v", "s", "t")
+    finally:
+        common.written = keep
+    sizes = [r["count"] for r in seen[0].groupBy("__pid").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 2500
