@@ -75,7 +75,7 @@ def to_homes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return spark.table(name)
 
 
-def prepared(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def prepared(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes, where each text begins, and the starts of all windows that lie in one text."""
     h, first = hashed(texts, "space", lower=False)
     ok = np.zeros(max(0, len(h) - WINDOW + 1), bool)
@@ -166,7 +166,7 @@ def repeated_anchors(homes: DataFrame) -> DataFrame:
                 home = int(home_of[a])
                 for other in [x for x in held if x != home]:
                     yield flush(other)
-                h, _, ok = prepared(texts.slice(a, b - a).to_pylist())
+                h, _, ok = prepared(texts.slice(a, b - a))
                 held.setdefault(home, []).append(anchors(h, ok)[0])
         for home in list(held):
             yield flush(home)
@@ -182,7 +182,7 @@ def suffixes(homes: DataFrame, known: DataFrame) -> DataFrame:
         types = [pa.int64(), pa.int64(), *[pa.binary()] * (2 + len(PREFIXES))]
         if not len(texts) or not len(answer):
             return pa.table({c: pa.array([], t) for c, t in zip(schema, types, strict=True)})
-        h, _, ok = prepared(texts.column("__text").to_pylist())
+        h, _, ok = prepared(texts.column("__text"))
         _, least = anchors(h, ok)
         at = np.flatnonzero(ok)
         at = at[member(least[at], _keys(answer))]

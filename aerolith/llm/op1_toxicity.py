@@ -68,7 +68,7 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def term_pairs(texts: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def term_pairs(texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The (text, bucket) pairs of the texts' terms, each once, in order, a piece of the texts at a time."""
     for start, end in pieces(texts):
         words = Words(texts[start:end])
@@ -89,7 +89,7 @@ def term_numbers(buckets: np.ndarray) -> np.ndarray:
     return number
 
 
-def known_pairs(texts: list, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def known_pairs(texts, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The (text, term number) pairs of the terms that have a number."""
     docs, terms = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for doc, bucket in term_pairs(texts):
@@ -119,7 +119,7 @@ def telling_terms(train: DataFrame, max_terms: int = MAX_TERMS) -> np.ndarray:
         seen = np.zeros((2, 1 << HASH_BITS), np.int64)
         for batch in batches:
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False) > 0
-            for doc, bucket in term_pairs(batch.column("text").to_pylist()):
+            for doc, bucket in term_pairs(batch.column("text")):
                 for k in (0, 1):
                     seen[k] += np.bincount(bucket[toxic[doc] == bool(k)], minlength=1 << HASH_BITS)
         at = np.flatnonzero(seen.any(axis=0))
@@ -152,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = term_numbers(buckets)
         for batch in batches:
-            doc, term = known_pairs(batch.column("text").to_pylist(), number)
+            doc, term = known_pairs(batch.column("text"), number)
             own = np.split(term.astype(str), np.searchsorted(doc, np.arange(1, batch.num_rows)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(batch.column("toxic")).cast(pa.float64()), pa.array([x.tolist() for x in own], pa.list_(pa.string()))],
@@ -176,7 +176,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
         m = held.value
         number = term_numbers(m.buckets)
         for batch in batches:
-            doc, term = known_pairs(batch.column(text_col).to_pylist(), number)
+            doc, term = known_pairs(batch.column(text_col), number)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(m.scores(doc, term, batch.num_rows))], [*names, out])
 

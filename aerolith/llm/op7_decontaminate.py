@@ -115,7 +115,7 @@ def enough(matching: int, n_item: int) -> bool:
     return matching >= min(LEAK_WORDS, int(np.ceil(LEAST_SHARE * n_item)))
 
 
-def leaks(texts: list, items: Items) -> list[tuple]:
+def leaks(texts, items: Items) -> list[tuple]:
     """(text number, item number, first word in the text, words, matching words): the best leak of each pair."""
     out = []
     for start, end in pieces(texts):
@@ -173,7 +173,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", ch
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             items = held.value
             for batch in batches:
-                hits = leaks(batch.column("text").to_pylist(), items)
+                hits = leaks(batch.column("text"), items)
                 ids = batch.column("doc_id")
                 yield pa.RecordBatch.from_arrays([
                     ids.take(pa.array([h[0] for h in hits], pa.int64())),
@@ -197,7 +197,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             items = held.value
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                keep[[h[0] for h in leaks(batch.column(text_col).to_pylist(), items)]] = False
+                keep[[h[0] for h in leaks(batch.column(text_col), items)]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -37,6 +37,7 @@ from aerolith.llm.textvec import U, hashed, pieces
 
 BLOCK_TEXTS = 512
 BLOCK_TOKENS = 1 << 20
+PIECE_BYTES = 1 << 20
 
 
 def text_keys(texts: list, h: np.ndarray, first: np.ndarray) -> list:
@@ -51,14 +52,14 @@ def featurized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
-            for a, b in pieces(texts, 1 << 22):
-                h, first = hashed(texts[a:b])
+            for a, b in pieces(batch.column("__text"), PIECE_BYTES):
+                texts = batch.column("__text").slice(a, b - a).to_pylist()
+                h, first = hashed(texts)
                 tokens = (h >> U(48)).astype(np.uint16)
                 keys, begin = kernels.shingles(tokens, first)
                 sketch = kernels.sketches(kernels.labelled(keys, begin), begin).astype(np.int64)
                 n = np.diff(first)
-                key = text_keys(texts[a:b], h, first)
+                key = text_keys(texts, h, first)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("__id").slice(a, b - a), pa.array(key, pa.binary()), pa.array(n),
                     pa.array([s if m else None for s, m in zip(sketch, n, strict=True)], pa.list_(pa.int64())),
@@ -171,10 +172,11 @@ def keyed(docs: DataFrame, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, keys = batch.column(text_col).to_pylist(), []
-            for a, b in pieces(texts, 1 << 22):
-                h, first = hashed(texts[a:b])
-                keys += text_keys(texts[a:b], h, first)
+            keys = []
+            for a, b in pieces(batch.column(text_col), PIECE_BYTES):
+                texts = batch.column(text_col).slice(a, b - a).to_pylist()
+                h, first = hashed(texts)
+                keys += text_keys(texts, h, first)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*names, "__row_key"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "__row_key binary"])

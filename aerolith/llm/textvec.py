@@ -29,9 +29,9 @@ def _bytes_table() -> np.ndarray:
     return mix(np.arange(256, dtype=np.uint64), 7)
 
 
-@lru_cache(4)
+@lru_cache(2)
 def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1); n is rounded up by the caller so that few sizes occur."""
+    """base**0 .. base**(n-1); n is rounded up by the caller, to one size for all pieces but those of one longer text."""
     out = np.empty(n, np.uint64)
     out[0] = 1
     k = 1
@@ -56,14 +56,16 @@ def _is_word(kind: str) -> np.ndarray:
 class Words:
     """hash: of each word; start, end: its bytes; doc: the number of its text; first: where each text's words begin."""
 
-    def __init__(self, texts: list, kind: str = "alnum", lower: bool = True):
+    def __init__(self, texts, kind: str = "alnum", lower: bool = True):
+        """``texts``: a list or an Arrow array of strings."""
+        texts = texts if isinstance(texts, list) else texts.to_pylist()
         raw = [b"" if t is None else (t.lower() if lower else t).encode("utf-8", "surrogatepass") for t in texts]
         data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
         ends = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64) if raw else np.zeros(0, np.int64)
         inside = _is_word(kind)[data].view(np.int8)
         edge = np.diff(inside, prepend=np.int8(0), append=np.int8(0))
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        n = 1 << max(10, int(len(data)).bit_length())
+        n = 1 << max(20, int(len(data)).bit_length())
         self._prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_bytes_table()[data] * _powers(_INV, n)[: len(data)], out=self._prefix[1:])
         self._scale = _powers(_BASE, n)
@@ -108,24 +110,33 @@ def sliding(h: np.ndarray, size: int, op=np.minimum) -> np.ndarray:
     return op(level[:n], level[size - span : size - span + n])
 
 
-def pieces(texts: list, limit: int = 1 << 21):
-    """(start, end) of runs of texts with at most ``limit`` characters together (one text at least), so that the
-    arrays of ``Words`` stay small whatever the batch holds."""
+#: Bytes of text whose words are hashed at a time.
+PIECE_BYTES = 1 << 19
+
+
+def pieces(texts, limit: int = PIECE_BYTES):
+    """(start, end) of runs of texts (a list or an Arrow array of strings) with at most about ``limit`` bytes together,
+    one text at least, so that the arrays of ``Words`` stay small whatever the batch holds."""
+    if isinstance(texts, list):
+        sizes = [len(t) if t else 0 for t in texts]
+    else:
+        import pyarrow.compute as pc
+
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     start = size = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
+    for i, n in enumerate(sizes):
         if size + n > limit and i > start:
             yield start, i
             start, size = i, 0
         size += n
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
-def hashed(texts: list, kind: str = "alnum", lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def hashed(texts, kind: str = "alnum", lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The word hashes of all texts, and where each text's words begin (and the last one's end)."""
     parts, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
-    for start, end in pieces(texts, 1 << 20):
+    for start, end in pieces(texts):
         words = Words(texts[start:end], kind, lower)
         parts.append(words.hash)
         counts.append(np.diff(words.first))
