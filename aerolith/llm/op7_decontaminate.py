@@ -2,9 +2,10 @@
 
 A mask fixes which of the words in a window count; a window's seed is the hash of these words alone, so
 substitutions at the other places do not matter.  Seeds of every window of every training
-text meet the seeds of the benchmark items (for each of ``MASKS``).  Around a hit, text and item are
-compared word by word along the hit's diagonal: matches gain 1, substitutions cost ``PENALTY``, and the
-best stretch that holds the hit is the overlap.  It is a leak if LEAK_WORDS words match in it, or LEAST_SHARE of the item.
+text meet the seeds of the benchmark items (for each of ``MASKS``).  A hit opens its diagonal: text and
+item are compared word by word along all of it.  Matches gain 1, substitutions cost ``PENALTY``; around each matching word lies
+a best stretch, and the one with the most matching words is the diagonal's overlap, whichever hit led there.  It is a leak if
+LEAK_WORDS words match in it, or LEAST_SHARE of the item.
 
 Words are lower-cased runs of ASCII letters, digits, underscores and characters that are not ASCII.  Items
 go out to the tasks in chunks of at most ``CHUNK_WORDS`` words, counted beforehand; each chunk is one pass over
@@ -94,19 +95,27 @@ def index_items(rows: list[tuple]) -> Items:
     return Items(ids, [len(v) for v in same.values()], np.concatenate([*parts, np.zeros(0, np.uint64)]), first, places)
 
 
-def overlap(text: np.ndarray, item: np.ndarray, shift: int, hit: int) -> tuple[int, int, int]:
-    """(first word in the item, words, matching words) of the best stretch with item word ``hit`` when item word j
-    lies on text word j + shift; if LEAST_SHARE of the whole item matches there, all of it that matches."""
+def overlap(text: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
+    """(first word in the item, words, matching words) of the stretch with the most matching words when item word j lies
+    on text word j + shift, of the best stretches around each matching word; if LEAST_SHARE of the whole
+    item matches there, all of it that matches."""
     low, high = max(0, -shift), min(len(item), len(text) - shift)
     match = item[low:high] == text[low + shift: high + shift]
     if match.sum() >= LEAST_SHARE * len(item):
         at = np.flatnonzero(match)
         return low + int(at[0]), int(at[-1] - at[0]) + 1, len(at)
+    n = len(match)
     total = np.concatenate([[0], np.cumsum(np.where(match, 1, -PENALTY))])
-    hit -= low
-    start = int(np.argmin(total[: hit + 1]))
-    end = hit + 1 + int(np.argmax(total[hit + 1:]))
-    return low + start, end - start, int(match[start:end].sum())
+    # of each word: the first place of the least total up to it, and of the largest total after it
+    before, after = total[:-1], total[:0:-1]
+    lower = np.concatenate([[True], before[1:] < np.minimum.accumulate(before)[:-1]])
+    higher = np.concatenate([[True], after[1:] >= np.maximum.accumulate(after)[:-1]])
+    start = np.maximum.accumulate(np.where(lower, np.arange(n), 0))
+    end = (n - np.maximum.accumulate(np.where(higher, np.arange(n), 0)))[::-1]
+    counted = np.concatenate([[0], np.cumsum(match)])
+    matching = np.where(match, counted[end] - counted[start], 0)
+    k = int(np.argmax(matching))
+    return low + int(start[k]), int(end[k] - start[k]), int(matching[k])
 
 
 def enough(matching: int, n_item: int) -> bool:
@@ -135,10 +144,9 @@ def leaks(texts, items: Items) -> list[tuple]:
                     shift = int(p) - base - q
                     if (doc, item, shift) in tried:
                         continue
+                    tried.add((doc, item, shift))  # all stretches of the diagonal are looked at, whatever hit leads to it
                     own = items.words[items.first[item]: items.first[item + 1]]
-                    first, n, matching = overlap(words.hash[base: words.first[doc + 1]], own, shift, q)
-                    if first <= q and q + len(mask) <= first + n:
-                        tried.add((doc, item, shift))  # other hits of the diagonal lie in this stretch or in one of their own
+                    first, n, matching = overlap(words.hash[base: words.first[doc + 1]], own, shift)
                     if enough(matching, len(own)) and matching > best.get((doc, item), (0, 0, 0))[2]:
                         best[doc, item] = (first + shift, n, matching)
         out += [(start + d, i, *v) for (d, i), v in sorted(best.items())]

@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +111,40 @@ def test_odd_leaks(spark):
     assert op7_decontaminate.without_leaks(d, b).count() == 4
     assert op7_decontaminate.find_leaks(d.where("false"), b).count() == 0
     assert op7_decontaminate.find_leaks(d, b.where("false")).count() == 0
+
+
+def brute_overlap(text, item, shift):
+    """The most matching words of the best stretches around the diagonal's matching words, or of all of it for 0.8 of the item."""
+    match = [0 <= j + shift < len(text) and text[j + shift] == w for j, w in enumerate(item)]
+    if sum(match) >= 0.8 * len(item):
+        return sum(match)
+    low, high = max(0, -shift), min(len(item), len(text) - shift)
+    total = {low: 0}
+    for j in range(low, high):
+        total[j + 1] = total[j] + (1 if match[j] else -3)
+    best = 0
+    for j in (j for j in range(low, high) if match[j]):
+        start = min(range(low, j + 1), key=lambda x: (total[x], x))
+        end = max(range(j + 1, high + 1), key=lambda x: (total[x], -x))
+        best = max(best, sum(match[start:end]))
+    return best
+
+
+def test_second_stretch_of_a_diagonal():
+    item = [f"w{k}" for k in range(60)]
+    text = [w if k < 12 or 30 <= k < 50 else f"x{k}" for k, w in enumerate(item)]  # 12 words are too few, the 20 later ones a leak
+    got = op7_decontaminate.leaks([" ".join(["y", *text])], op7_decontaminate.index_items([(1, " ".join(item))]))
+    assert got == [(0, 0, 31, 20, 20)]
+
+
+def test_overlap_of_a_whole_diagonal():
+    rng = random.Random(6)
+    for _ in range(300):
+        item = np.arange(rng.randint(10, 70), dtype=np.uint64)
+        share = rng.choice([0.5, 0.7, 0.85])
+        text = np.array([w if rng.random() < share else 999 for w in item[rng.randrange(5): len(item) - rng.randrange(5)]], np.uint64)
+        shift = rng.randint(-5, 2)
+        text = np.roll(text, rng.choice([0, shift]))
+        first, n, matching = op7_decontaminate.overlap(text, item, shift)
+        assert matching == brute_overlap(text.tolist(), item.tolist(), shift)
+        assert (item[first: first + n] == text[first + shift: first + n + shift]).sum() == matching
