@@ -148,3 +148,46 @@ def test_overlap_of_a_whole_diagonal():
         first, n, matching = op7_decontaminate.overlap(text, item, shift)
         assert matching == brute_overlap(text.tolist(), item.tolist(), shift)
         assert (item[first: first + n] == text[first + shift: first + n + shift]).sum() == matching
+
+
+def most_without_hit(n):
+    """For 0 to n words: the most that can match with no mask fully matched anywhere (all patterns, by the last words seen)."""
+    span = max(map(len, op7_decontaminate.MASKS))
+    best, out = {"": 0}, [0]
+    for _ in range(n):
+        longer: dict = {}
+        for seen, count in best.items():
+            for c in "01":
+                last = (seen + c)[-span:]
+                hit = any(len(m) <= len(last) and all(x <= y for x, y in zip(m, last[-len(m):], strict=True)) for m in op7_decontaminate.MASKS)
+                if not hit:
+                    longer[last] = max(longer.get(last, 0), count + int(c))
+        best = longer
+        out.append(max(best.values()))
+    return out
+
+
+def test_masks_hit_all_that_the_rule_allows():
+    most = most_without_hit(60)
+    for n in range(10, 61):
+        assert most[n] < -(-4 * n // 5)  # the share of a whole item
+        assert n < 13 or most[n] < max(13, (3 * n + 4) // 4)  # a stretch that gains more than it costs
+    assert most[30] <= 22  # so longer patterns, cut into pieces of 30, stay below both, too
+
+
+def test_random_substitutions_against_brute_force():
+    rng = random.Random(8)
+    items, texts, want = [], [], set()
+    for i in range(1500):
+        n = rng.choice([*range(5, 26), 40])
+        items.append([f"i{i}w{k}" for k in range(n)])
+        changed = set(rng.sample(range(n), rng.randint(0, -(-n // 3))))
+        copy = [f"t{i}x{k}" if k in changed else w for k, w in enumerate(items[-1])]
+        copy = copy[rng.choice([0, 0, 0, 2]):]
+        before = [f"t{i}b{k}" for k in range(rng.randrange(4))]
+        texts.append([*before, *copy, "end"])
+        matching = max(brute_overlap(texts[-1], items[-1], s) for s in range(-3, 5))
+        if matching >= (n if n < 10 else min(13, -(-4 * n // 5))):
+            want.add((i, i, matching))
+    got = op7_decontaminate.leaks([" ".join(t) for t in texts], op7_decontaminate.index_items([(i, " ".join(x)) for i, x in enumerate(items)]))
+    assert {(d, i, m) for d, i, _, _, m in got} == want and len(want) > 500
