@@ -10,6 +10,8 @@ WORDS_IN_SHINGLE = 5
 SKETCHES = 24
 MINIMA = 3
 SIMILARITY = 0.8
+#: Up to so many pairs of equal shingles for each shingle of two texts, an alignment goes through the pairs one by one.
+PAIRS_PER_SHINGLE = 4
 
 
 def shingles(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,8 +90,40 @@ def increasing(values: np.ndarray) -> int:
     return len(tails)
 
 
+def in_order(a: np.ndarray, b: np.ndarray, ahead: int, behind: int) -> int:
+    """Length of the longest common subsequence of two lists, either of which may repeat itself, by the pairs i, j with
+    j - i <= ahead and i - j <= behind; where equal pairs are many, of all pairs, by bit operations on whole rows."""
+    _, code = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = code[: len(a)], code[len(a):]
+    n_codes = int(code.max()) + 1
+    in_a, in_b = np.bincount(x, minlength=n_codes), np.bincount(y, minlength=n_codes)
+    order = np.argsort(y, kind="stable")
+    start = np.cumsum(in_b) - in_b
+    if int((in_a * in_b).sum()) <= PAIRS_PER_SHINGLE * (len(a) + len(b)):
+        n = in_b[x]
+        i = np.repeat(np.arange(len(a)), n)
+        nth = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        j = order[np.repeat(start[x] + n - 1, n) - nth]  # for each i from the last to the first, so that one is picked at most
+        return increasing(j[(j - i <= ahead) & (i - j <= behind)])
+    often = max(64, len(b) // 1024)
+    full = row = (1 << len(b)) - 1  # zeros: where the length grows by one along b
+    held: dict[int, int] = {}
+    for c in x[in_b[x] > 0].tolist():
+        places = held.get(c)
+        if places is None:
+            if in_b[c] > often:
+                places = held[c] = int.from_bytes(np.packbits(y == c, bitorder="little").tobytes(), "little")
+            else:
+                places = 0
+                for p in order[start[c]: start[c] + in_b[c]].tolist():
+                    places |= 1 << p
+        met = row & places
+        row = ((row + met) | (row - met)) & full
+    return len(b) - row.bit_count()
+
+
 def alignment_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """matches / (len a + len b - matches) of the best alignment of two lists of labelled shingles (distinct in each).
+    """matches / (len a + len b - matches) of the best alignment of two lists of shingles, not labelled.
 
     Only pairs inside the band count: with a similarity of ``least`` or more, at most the shingles that may go
     unmatched on either side can shift a pair off the diagonal.  Below ``least`` the value is a lower bound.
@@ -99,27 +133,19 @@ def alignment_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY
     need = int(np.ceil(least * (len(a) + len(b)) / (1 + least) - 1e-9))
     if need > min(len(a), len(b)):
         return 0.0
-    order = np.argsort(b, kind="stable")
-    at = np.minimum(np.searchsorted(b[order], a), len(b) - 1)
-    at = order[at]
-    i = np.flatnonzero(b[at] == a)
-    if len(i) < need:
-        return 0.0
-    j = at[i]
-    band = (j - i <= len(b) - need) & (i - j <= len(a) - need)
-    matches = increasing(j[band])
+    matches = in_order(a, b, len(b) - need, len(a) - need)
     return matches / (len(a) + len(b) - matches)
 
 
 def links(tokens: list[np.ndarray], least: float = SIMILARITY) -> list[tuple[int, int]]:
     """Pairs of texts that are similar, as a spanning forest of the similarity graph of the texts given.
 
-    The number of shingles that two texts share bounds their similarity; it is counted for a text against all
+    The number of shingles that two texts share, repeated ones as often as both have them, bounds their similarity; it is counted for a text against all
     others by bit operations, and only pairs that it allows and that are not connected yet are aligned.
     """
     first = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
-    keys, begin = shingles(np.concatenate(tokens), first)
-    keys = labelled(keys, begin)
+    plain, begin = shingles(np.concatenate(tokens), first)
+    keys = labelled(plain, begin)
     sizes, n = np.diff(begin), len(tokens)
     _, column, count = np.unique(keys, return_inverse=True, return_counts=True)
     shared = np.cumsum(count > 1) - 1  # columns of shingles that two texts have
@@ -138,7 +164,7 @@ def links(tokens: list[np.ndarray], least: float = SIMILARITY) -> list[tuple[int
         for part in np.array_split(other, max(1, len(other) * width // (1 << 22))):
             common = np.bitwise_count(bits[part] & bits[i]).sum(axis=1)
             for j in part[common >= need(i, part)]:
-                if root[j] != root[i] and alignment_similarity(keys[begin[i]: begin[i + 1]], keys[begin[j]: begin[j + 1]], least) >= least:
+                if root[j] != root[i] and alignment_similarity(plain[begin[i]: begin[i + 1]], plain[begin[j]: begin[j + 1]], least) >= least:
                     found.append((i, int(j)))
                     root[root == root[j]] = root[i]
     return found

@@ -4,9 +4,9 @@ A text's five-word shingles are labelled with how often they occurred before, so
 each of SKETCHES hash functions the MINIMA least ones are kept in the order of the text; their hash
 is one entry of the sketch.  Texts that share an entry meet in its bucket: entries agree for
 texts that share both the shingles and their order, which follows edit similarity.  Candidates are verified by
-banded alignment: matched shingles in order, m, of texts with a and b shingles give m / (a + b - m), and 0.8
-or more is a link.  At that similarity an entry agrees with a chance of about a half, so 24 entries
-miss a pair once in 10**7.
+banded alignment of the shingles without labels (a longest common subsequence, so texts may repeat
+themselves): matched shingles in order, m, of texts with a and b shingles give m / (a + b - m), and 0.8 or more is a link.  At that similarity an entry agrees with a chance of about a half, so 24 entries
+miss a pair once in 10**7, and somewhat more often if texts repeat themselves, as an edit of one occurrence changes the labels of later ones.
 
 * Texts of equal words are one node from the start (a partial and a final aggregate).
 * Buckets with the same members (one group of copies shares many entries) are looked at once.

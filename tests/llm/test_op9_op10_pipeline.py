@@ -121,6 +121,49 @@ def test_alignment_matches_the_table():
         assert got == pytest.approx(want) if want >= 0.8 else got <= want + 1e-9
 
 
+def plain(text):
+    return [g for g, _ in labelled(text)]
+
+
+def kernel_shingles(texts):
+    h, first = hashed(texts)
+    tokens = (h >> U(48)).astype(np.uint16)
+    s, begin = op9_kernels.shingles(tokens, first)
+    return [tokens[first[k]:first[k + 1]] for k in range(len(texts))], s, begin
+
+
+@pytest.mark.parametrize("pairs", [4, 0])  # 0: by bit operations
+def test_alignment_of_texts_that_repeat_themselves(pairs, monkeypatch):
+    monkeypatch.setattr(op9_kernels, "PAIRS_PER_SHINGLE", pairs)
+    rng = random.Random(12)
+    for _ in range(60):
+        base = [word(rng, rng.choice([1, 4])) for _ in range(rng.randint(1, 30))] * rng.randint(1, 5)
+        other = edited(rng, base, rng.randint(0, 4))
+        if rng.random() < 0.5:
+            del other[rng.randrange(len(other))]
+        if rng.random() < 0.3:
+            base, other = base[:6] * 12, other[:6] * 12
+        texts = [" ".join(base), " ".join(other)]
+        _, s, begin = kernel_shingles(texts)
+        got = op9_kernels.alignment_similarity(s[begin[0]:begin[1]], s[begin[1]:begin[2]])
+        want = similarity(*map(plain, texts))
+        assert got == pytest.approx(want) if want >= 0.8 else got <= want + 1e-9
+
+
+def test_copies_of_a_text_that_repeats_itself_are_linked():
+    rng = random.Random(13)
+    passage = [word(rng) for _ in range(104)]
+    texts = [passage * 2, passage * 2]
+    for at in (20, 50, 80):  # edits in the first half give the second half's shingles lower labels
+        texts[1] = [*texts[1][:at], f"edit{at}", *texts[1][at + 1:]]
+    texts = [" ".join(t) for t in texts]
+    assert similarity(*map(labelled, texts)) < 0.8 < similarity(*map(plain, texts))
+    tokens, s, begin = kernel_shingles(texts)
+    assert op9_kernels.links(tokens) == [(0, 1)]
+    sketch = op9_kernels.sketches(op9_kernels.labelled(s, begin), begin)
+    assert (sketch[0] == sketch[1]).any()  # so the two texts meet in a bucket
+
+
 def test_sketches_follow_order():
     """Equal sets of shingles in another order agree in few entries; edited texts in many."""
     keys = np.random.default_rng(1).integers(0, 2**63, 200).astype(np.uint64)
