@@ -12,7 +12,7 @@
    the first to the last run with a tenth of the text of the largest.
 4. Keep every line between the first surge and the last dive of these runs, in page order.
 
-Defined results: null or empty html, or html without prose, gives an empty text and 0; each repeated
+Defined results: null or empty html, or html without prose (link text alone is none), gives an empty text and 0; each repeated
 row gives a result of its own; unclosed elements end with their parent; a truncated tag at the
 end is markup.  Whole pages are read, whatever their length.
 """
@@ -58,6 +58,7 @@ NEVER_DROPPED = {"html", "body", "article", "main"}
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|</?[a-zA-Z][^>]*(?:>|$)", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_SLASH_OF_VALUE = re.compile(r"=\s*[^\s\"'>]*/$")  # href=/ without quotes: the slash does not close the element
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
@@ -89,6 +90,7 @@ def to_lines(page: str) -> tuple[list[str], list[int], list[int], list[int], lis
     box = 0
     text: list[str] = []
     link = 0  # link text in this line
+    prose: list[str] = []  # and the pieces of it outside links
     stack: list[str] = []
     home = n_homes = 0
     depth_of_home = dropped_at = -1  # stack depths; -1: not inside
@@ -98,6 +100,9 @@ def to_lines(page: str) -> tuple[list[str], list[int], list[int], list[int], lis
         nonlocal link
         line = " ".join(htmllib.unescape("".join(text)).split())
         text.clear()
+        if link and not htmllib.unescape("".join(prose)).strip():
+            link = len(line)  # space between links is no prose
+        prose.clear()
         if line:
             lines.append(line)
             links.append(link)
@@ -116,6 +121,8 @@ def to_lines(page: str) -> tuple[list[str], list[int], list[int], list[int], lis
         text.append(piece)
         if "a" in stack:
             link += len(piece)
+        else:
+            prose.append(piece)
 
     def pop_to(depth: int) -> None:
         nonlocal dropped_at, home, depth_of_home, box
@@ -152,7 +159,7 @@ def to_lines(page: str) -> tuple[list[str], list[int], list[int], list[int], lis
             close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
             at = size if not close else (page.find(">", close.start()) + 1 or size)
             continue
-        if name in VOID or found[0].endswith("/>"):
+        if name in VOID or found[0].endswith("/>") and not _SLASH_OF_VALUE.search(found[3]):
             if dropped_at < 0:
                 if name == "hr":
                     end_line(False)
@@ -213,7 +220,7 @@ def main_lines(lines: list[str], links: list[int], homes: list[int], boxes: list
     surges, dives = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     total = np.concatenate([[0], np.cumsum(lengths)])
     runs = [(total[d] - total[s], s, d, homes[s]) for s, d in zip(surges, dives, strict=True) if sums[s:d].max(initial=0) > 0]
-    if not runs:
+    if not any(r[0] > 0 for r in runs):  # nothing, or link text only
         return []
     weight: dict[int, int] = {}
     for amount, _, _, h in runs:

@@ -1,6 +1,7 @@
 """WARC round trip, URL filter against brute force, main text of hand-made pages."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -121,6 +122,18 @@ def test_main_text_of_odd_pages():
     assert {k: op4_extract.extract(k) for k in cases} == cases
 
 
+def test_main_text_of_pages_with_links_only():
+    link = "<a href=/>Click here</a>"
+    for page in (link, f"<html><body><div>{link}</div></body></html>", f"<article>{link}</article>", f"<div>{link}</div><main>{link}</main>",
+                 f"<ul><li>{link}<li>{link}</ul>"):
+        assert op4_extract.extract(page) == ""
+    assert op4_extract.extract(f"<article>{link}</article><div><p>Some prose.</p></div>") == "Some prose."
+    rng = random.Random(3)
+    parts = [link, "<div>", "</div>", "<article>", "</article>", "<p>", "<section>", "</section>", "<nav>", "</nav>", "<br>"]
+    for _ in range(500):  # no page without prose fails
+        assert op4_extract.extract("".join(rng.choice(parts) for _ in range(rng.randint(1, 12)))) == ""
+
+
 def test_main_text_without_containers_by_line_blocks():
     links = "<div>" + "".join(f"<div><a href=/{i}>entry {i}</a></div>" for i in range(30)) + "</div>"
     body = "<div>" + "".join(f"<p>Paragraph {i} has some words of prose in it.</p>" for i in range(8)) + "</div>"
