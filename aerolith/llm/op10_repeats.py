@@ -1,9 +1,9 @@
-"""Substring deduplication by prefix-partitioned suffix trees.
+"""Substring deduplication by window fingerprints in prefix groups, in place of prefix-partitioned suffix trees.
 
 A window is ``WINDOW`` consecutive words of one document.  Every word covered by a window whose words
 also start anywhere else goes.  The suffixes that can lie below a deep internal node are found first,
 then they are split by variable-length prefixes into groups that fit a task, and each group's
-subtree is built; its internal nodes at a depth of ``WINDOW`` words are the repeats, and the stretches
+suffixes are compared to a depth of ``WINDOW`` words; those with an equal one are the repeats, and the stretches
 that their windows cover are the maximal repeats.
 
 1. Homes.  Documents go to homes of at most ``HOME_BYTES`` of text, a bucketed table in the shared folder, so that
@@ -14,8 +14,8 @@ that their windows cover are the maximal repeats.
    with such an anchor can repeat, and nothing that repeats is lost.
 3. Groups.  Each home lists its remaining suffixes (each once).  They are grouped by the hash of their first 4
    words; groups above ``GROUP_SUFFIXES`` are split by their first 12 words, those still above it by all words.
-4. Subtrees.  A group sorts its suffixes by their 35-word fingerprint; equal neighbours are leaves of one internal
-   node.  A suffix that a third of all documents share is one entry for each home, not one for each document.
+4. Subtrees.  No tree is built: a group sorts its suffixes by their 35-word fingerprint; equal neighbours are what would be
+   leaves of one internal node at that depth, which is all that the result needs.  A suffix that a third of all documents share is one entry for each home, not one for each document.
    The repeated fingerprints go back to their homes, which remove the words.
 
 Fingerprints have 64 bits and are compared inside a prefix group only.  Defined results: null, empty and wordless texts
