@@ -14,6 +14,9 @@ miss a pair once in 10**7, and somewhat more often if texts repeat themselves, a
   pairs are examined, in bounded memory, and none is emitted: a block pair returns a spanning forest of its links.
 * Classes are connected components of the links.
 
+Sketches and alignment see 16 bits of each word's hash, to keep the shuffles small: two different words count as equal
+once in 65,536, so a pair with d replaced words comes out too similar with a chance of about d in 65,536.
+
 Words are lower-cased runs of ASCII letters, digits, underscores and characters that are not ASCII.  Defined results:
 a null text is a class of its own; texts without words are copies only if they are equal; texts of one to
 four words are one shingle; repeated rows are copies; a class is shown by its least doc_id (null if it has none)
