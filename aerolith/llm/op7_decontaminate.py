@@ -14,7 +14,7 @@ at no length.  Insertions and deletions move the rest of a copy to another diago
 
 Words are lower-cased runs of ASCII letters, digits, underscores and characters that are not ASCII.  Items
 go out to the tasks in chunks of at most ``CHUNK_WORDS`` words, counted beforehand; each chunk is one pass over
-the texts, so what is broadcast never grows.  Nothing of the training texts is shuffled.
+the texts.  That bounds a broadcast but not their sum: all chunks are held until the result is written.  Nothing of the training texts is shuffled.
 
 Defined results: null, empty and wordless texts and items hit nothing; items with equal words are one item, shown by
 the smallest item_id and the number of its copies; items under ``WHOLE_UNDER`` words must occur as a
