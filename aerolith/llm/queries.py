@@ -13,6 +13,9 @@ from aerolith.llm import (
     op8_mix,
     op9_orderminhash,
     op10_repeats,
+    op11_packing,
+    op12_collocations,
+    op13_manifest,
 )
 
 QUERIES = {
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_fair_mix": op8_mix.query,
     "op9_order_minhash": op9_orderminhash.query,
     "op10_suffix_repeats": op10_repeats.query,
+    "op11_dominance_packing": op11_packing.query,
+    "op12_dynamic_collocations": op12_collocations.query,
+    "op13_slot_pivot_manifest": op13_manifest.query,
 }
 
 ORACLE = {
@@ -34,4 +40,6 @@ ORACLE = {
     "op5_nra_topk": op5_topk.SQL,
     "op6_extendible_shards": op6_shard.SQL,
     "op8_fair_mix": op8_mix.SQL,
+    "op12_dynamic_collocations": op12_collocations.SQL,
+    "op13_slot_pivot_manifest": op13_manifest.SQL,
 }
