@@ -91,7 +91,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(f"{base}/{name}-{uuid.uuid4().hex[:12]}")
+    return _scratch[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every path that this process took from ``scratch_path``.  Lazy results that still read them fail afterwards, so call it when they
+    are written or collected: at the end of a job."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

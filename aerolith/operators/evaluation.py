@@ -14,31 +14,40 @@ from pyspark.sql import functions as F
 
 from aerolith.config import POLLUTANTS, TEST_RATIO
 from aerolith.functions.aqi import overall_aqi, overall_aqi_sql
+from aerolith.operators import select
 from aerolith.operators.stats import _lit, inline_sql
 
 
 def chrono_split(df: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
-                 test_ratio: float = TEST_RATIO, flag: str = "is_test") -> DataFrame:
-    """M1: the first ``int(n * (1 - test_ratio))`` rows of each key (time order) train, the rest test.
-
-    The cut is computed in integers (``n * 8 div 10`` for 20 %), which equals the
-    reference's float ``int(len * 0.8)``.  Per-key rows of the hourly table are bounded,
-    so the per-key window is bounded too.
-    """
-    keys = list(keys)
-    num, den = _ratio(1.0 - test_ratio)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    pos = F.row_number().over(Window.partitionBy(*keys).orderBy(time_col))
-    cut = F.expr(f"div(__n * {num}, {den})")
-    return (df.withColumn("__n", n).withColumn("__pos", pos)
-            .withColumn(flag, F.col("__pos") > cut).drop("__n", "__pos"))
+                 test_ratio: float = TEST_RATIO, flag: str = "is_test", tiebreak: Sequence[str] = (), strategy: str | None = None) -> DataFrame:
+    """The first ``int(n * (1 - test_ratio))`` rows of each key in (time, tiebreak) order train, the rest test; ``keys=()``: of the whole table.
 
+    The cut is computed in doubles, as the reference does.  ``strategy``:
 
-def _ratio(x: float) -> tuple[int, int]:
-    from fractions import Fraction
-
-    f = Fraction(x).limit_denominator(1000)
-    return f.numerator, f.denominator
+    * ``"select"`` (default without keys): the row at the cut is found by radix selection (``select.row_at``) and rows are compared
+      with it: no rank per row, no window, no task that holds a key.  Rows equal in (time, tiebreak) all train or all
+      test; a tie-break that tells rows apart makes the cut exact.
+    * ``"window"`` (default with keys): positions in a window per key, for keys of bounded length as those of the hourly table.
+    """
+    keys, order = list(keys), [time_col, *tiebreak]
+    cut = F.floor(F.col("__n").cast("double") * F.lit(1.0 - test_ratio)).cast("long")
+    if (strategy or ("window" if keys else "select")) == "window":
+        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        pos = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("__n", n).withColumn("__pos", pos).withColumn(flag, F.col("__pos") > cut).drop("__n", "__pos")
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    last = sizes.where("__n > 0").select(*keys, (cut - 1).alias("rank"))  # the last training row; rank -1 where there is none
+    found = select.row_at(df, order, last.where("rank >= 0"), keys)
+    marks = [f"__k{i}" for i in range(len(order))]
+    if not keys:
+        row = found.first()
+        return df.withColumn(flag, select.after(df, order, [F.lit(row[k]) for k in marks]) if row else F.lit(True))
+    found = found.select(*[F.col(k).alias(f"__by_{k}") for k in keys], *marks)
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__by_{k}"))
+    out = df.join(found, same, "left").withColumn(flag, F.coalesce(select.after(df, order, [F.col(k) for k in marks]), F.lit(True)))
+    return out.select(*df.columns, flag)
 
 
 def unpivot_predictions(df: DataFrame, targets: Sequence[str] = POLLUTANTS, pred_prefix: str = "pred_",
@@ -79,12 +88,13 @@ def aqi_mae(df: DataFrame, pred_prefix: str = "pred_", group: Sequence[str] = ()
 
 
 def summaries(df: DataFrame, models: dict[str, str], targets: Sequence[str] = POLLUTANTS,
-              places: int = 4) -> DataFrame:
+              places: int = 4, index: bool = True) -> DataFrame:
     """A11 + A12 for several models in one pass.
 
     ``models`` maps a model name to the prefix of its prediction columns
     (``<prefix><target>``).  Rows are unpivoted to (model, target, actual, predicted)
     by one generator; one aggregation per (model, target) and one per model follow.
+    ``index=False`` leaves ``aqi_mae`` NULL (not all pollutants are predicted).
     """
     long = df.select(inline_sql([[(_lit(m), "model_name"), (_lit(t), "target"), (f"CAST(`{t}` AS DOUBLE)", "actual"),
                                   (f"CAST(`{pre}{t}` AS DOUBLE)", "predicted")]
@@ -94,6 +104,8 @@ def summaries(df: DataFrame, models: dict[str, str], targets: Sequence[str] = PO
         F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"),
         r2_expr(F.sum(err * err), F.var_pop("actual") * F.count(F.lit(1))).alias("r2"))
     avg = per_target.groupBy("model_name").agg(*[F.avg(c).alias(c) for c in ("mae", "rmse", "r2")])
+    if not index:
+        return avg.select("model_name", *[F.bround(c, places).alias(c) for c in ("mae", "rmse", "r2")], F.lit(None).cast("double").alias("aqi_mae"))
     # The truth's index is one column of the row, and each model's index is computed on its own unpivoted row.
     wide = df.withColumn("__truth", overall_aqi())
     rows = wide.select("__truth", inline_sql([[(_lit(m), "model_name"), *[(f"`{pre}{p}`", f"__p_{p}") for p in POLLUTANTS]]

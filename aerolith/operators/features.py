@@ -4,11 +4,10 @@ One lazy plan from the raw hourly readings to the 51-feature table; Spark shares
 sort of one window ordering among all lag and rolling columns.
 
 Partitioning: the inputs are hourly grain, one row per (station, hour), because they
-come out of a ``groupBy(station, hour)`` (or a keyed store).  A station therefore has at
-most one row per hour of the time span (8,760 a year) however many raw readings
-stand behind it, so the default ``strategy="plain"`` window per station is bounded.
-Pass ``strategy="blocked"`` for a series whose rows per key are not bounded (raw
-sub-hourly readings, one very long series); it gives the same result.
+come out of a ``groupBy(station, hour)`` (or a keyed store), so a window per station holds at
+most one row per hour of the time span (8,760 a year).  ``strategy="auto"`` counts the rows of the longest series first and takes
+rank blocks of a bounded number of rows (``operators.scale``) where a series is longer than ``scale.PLAIN_ROWS``, as raw
+sub-hourly readings or one series without keys may be; ``"plain"`` and ``"blocked"`` fix the choice.  The results are the same.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from aerolith.config import LAG_HOURS, POLLUTANTS, ROLL_HOURS
 from aerolith.functions.calendar import add_calendar
 from aerolith.operators.clean import drop_all_null, drop_any_null, nan_to_null
 from aerolith.operators.joins import join_on_time
-from aerolith.operators.windows import ffill, lag_and_rolling
+from aerolith.operators.windows import chosen, ffill, lag_and_rolling
 
 
 def clean_readings(df: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
@@ -51,5 +50,7 @@ def engineer(df: DataFrame, keys: Sequence[str] = ("station",), time_col: str =
 def build_features(air: DataFrame, weather: DataFrame, keys: Sequence[str] = ("station",), time_col: str = "time",
                    strategy: str = "plain", dropna_subset: Sequence[str] | None = None) -> DataFrame:
     """The full historical feature table; rows with any missing value are dropped (P10)."""
+    if strategy == "auto":  # an inner join on (keys, time) of keyed rows has no longer series than its sides
+        strategy = chosen("auto", air.select(*keys).unionByName(weather.select(*keys)), list(keys))
     merged = merge_clean(air, weather, keys, time_col, strategy)
     return drop_any_null(engineer(merged, keys, time_col, strategy=strategy), dropna_subset)

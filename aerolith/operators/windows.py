@@ -5,7 +5,8 @@
   each task holds a bounded block of one key.
 * ``"plain"``: one ``Window.partitionBy(keys)``; fine when every key is provably small
   (e.g. a few years of one station's hours).
-Both give identical results.
+* ``"auto"``: the rows of the longest key are counted (one aggregate over ``df``); up to ``scale.PLAIN_ROWS`` the plain window, beyond it blocks.
+All give identical results.
 """
 
 from __future__ import annotations
@@ -59,7 +60,15 @@ def rolling_columns(w: str, cols: Sequence[str] = POLLUTANTS,
     return out
 
 
+def chosen(strategy: str, df: DataFrame, keys: Sequence[str]) -> str:
+    """``strategy``, with ``"auto"`` decided by the rows of the longest key."""
+    if strategy != "auto":
+        return strategy
+    return "plain" if keys and scale.longest_series(df, keys) <= scale.PLAIN_ROWS else "blocked"
+
+
 def _apply(df: DataFrame, keys, build, reach: int, time_col: str, tiebreak, strategy: str, **kw) -> DataFrame:
+    strategy = chosen(strategy, df, keys)
     if strategy == "plain":
         return df.withColumns(build(ordered(keys, time_col, tiebreak)))
     if strategy == "blocked":
@@ -95,6 +104,7 @@ def ffill(df: DataFrame, cols: Sequence[str] | None = None, keys: Sequence[str]
     keys = list(keys)
     if cols is None:
         cols = [c for c in df.columns if c not in keys and c != time_col and c not in tiebreak]
+    strategy = chosen(strategy, df, keys)
     if strategy == "plain":
         w = f"OVER ({ordered(keys, time_col, tiebreak)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         return df.withColumns({c: F.expr(f"last({q(c)}, true) {w}") for c in cols})
