@@ -51,6 +51,33 @@ def src_csv_preamble(spark, sf_dir):
     return round_doubles(files.read_csv_preamble(spark, path, schema))
 
 
+# A cell of each line is damaged by the row's hour: NaN, nothing, text, and a cell too many.
+_DAMAGE = {0: "NaN", 1: "", 2: "n/a", 3: "1.5,9"}
+
+
+@query("src_csv_rejects", sql=f"""{S.base_ctes()}
+SELECT station, time, CASE WHEN hour(time) IN (0, 1) THEN NULL ELSE {S.q6('pm10')} END AS pm10, {S.r6('pm2_5', 'pm2_5')}, FALSE AS rejected
+FROM air WHERE hour(time) NOT IN (2, 3)
+UNION ALL SELECT station, time, NULL AS pm10, NULL AS pm2_5, TRUE AS rejected FROM air WHERE hour(time) IN (2, 3)""")
+def src_csv_rejects(spark, sf_dir):
+    """Air hours landed as plain CSV with damaged cells; NaN and empty cells are NULL, lines that do not fit go to the reject table."""
+    a = fx.air(spark, sf_dir)
+    root = scratch_path(spark, "air-csv")
+    schema = StructType([StructField("station", LongType()), StructField("time", TimestampNTZType()), StructField("pm2_5", DoubleType()), StructField("pm10", DoubleType())])
+    damaged = F.coalesce(F.col("pm10").cast("string"), F.lit(""))
+    for hour, cell in _DAMAGE.items():
+        damaged = F.when(F.hour("time") == hour, F.lit(cell)).otherwise(damaged)
+    stamp = F.date_format("time", "yyyy-MM-dd'T'HH:mm")
+    line = F.concat_ws(",", F.col("station").cast("string"), stamp, F.coalesce(F.col("pm2_5").cast("string"), F.lit("")), damaged)
+    a.select(line.alias("station,time,pm2_5,pm10")).write.option("header", True).option("quote", "\u0000").option("sep", "\u0001").csv(f"{root}/in")
+    files.load_csv(spark, f"{root}/in", schema, f"{root}/good", f"{root}/rejects", files.CSV_TIME_FORMAT)
+    good = spark.read.parquet(f"{root}/good").withColumn("rejected", F.lit(False))
+    bad = spark.read.parquet(f"{root}/rejects").select(
+        F.split("line", ",")[0].cast("long").alias("station"), F.to_timestamp_ntz(F.split("line", ",")[1], F.lit(files.CSV_TIME_FORMAT)).alias("time"),
+        F.lit(None).cast("double").alias("pm10"), F.lit(None).cast("double").alias("pm2_5"), F.lit(True).alias("rejected"))
+    return round_doubles(good.unionByName(bad))
+
+
 @query("rename_clean", sql=f"""{S.base_ctes()}
 SELECT station, time, {S.rounded_select(WEATHER_RAW_COLUMNS, [])} FROM weather""")
 def rename_clean(spark, sf_dir):
@@ -174,9 +201,11 @@ old AS (SELECT * FROM feat_full WHERE time < {_OLD_END}),
 new AS (SELECT * FROM feat_full WHERE time >= {_NEW_START})
 SELECT station, time, {S.rounded_select(['pm2_5', 'pm10'], [])} FROM new WHERE time > (SELECT max(time) FROM old)""")
 def incremental_rows(spark, sf_dir):
-    """Rows of a new batch strictly after the stored high-water mark."""
+    """Rows of a new batch strictly after the stored high-water mark, which the store's statistics give."""
     old, new = _store_frames(spark, sf_dir)
-    return round_doubles(store.incremental_rows(new, old).select("station", "time", "pm2_5", "pm10"))
+    path = store.table_path(scratch_path(spark, "store"), "aqi_features", 1)
+    store.merge(spark, old, path, ["station", "time"]).forget(spark)
+    return round_doubles(store.rows_after(new, store.high_water(spark, path)).select("station", "time", "pm2_5", "pm10"))
 
 
 _STORE_COLS = ["station", "time", *AIR_COLUMNS, *[c for c in WEATHER_RAW_COLUMNS if c != "cloud_cover"], "ozone"]

@@ -10,14 +10,16 @@ generator over a date range.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from aerolith.functions.timeutil import from_epoch_seconds
+from aerolith.operators.clean import nan_to_null
 
 DATA_LINE = r"^\d{4}-\d{2}-\d{2}T"
 CSV_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
@@ -59,9 +61,40 @@ def rename_clean(df: DataFrame, validate: bool = True) -> DataFrame:
     return df.withColumnsRenamed(names.clean)
 
 
+#: The column that takes a line that does not fit the schema.
+CORRUPT = "_corrupt"
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, time_format: str | None = None) -> DataFrame:
-    """Plain CSV with a header, explicit schema (no inference pass)."""
-    r = spark.read.schema(schema).option("header", True)
+    """Plain CSV with a header, explicit schema (no inference pass); the rows that fit it.
+
+    Empty cells and NaN are NULL (the reference's one missing marker).  A line with a cell that does not parse or with
+    too many cells is left out here and given by ``rejected_lines``.
+    """
+    rows = _landed(spark, path, schema, time_format)
+    return nan_to_null(rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
+
+
+def rejected_lines(spark: SparkSession, path: str, schema: StructType, time_format: str | None = None) -> DataFrame:
+    """The reject table of ``read_csv``: line, file, and the cells that did parse."""
+    rows = _landed(spark, path, schema, time_format)
+    return rows.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "line").withColumn("file", F.input_file_name())
+
+
+def load_csv(spark: SparkSession, path: str, schema: StructType, good: str, rejects: str, time_format: str | None = None) -> dict[str, int]:
+    """S2 as a job: write the rows that fit to the table ``good`` and the lines that do not to ``rejects`` (append); the counts come from the
+    writes themselves (``observe``)."""
+    counts = {}
+    for name, df, place in (("rows", read_csv(spark, path, schema, time_format), good), ("rejected", rejected_lines(spark, path, schema, time_format), rejects)):
+        seen = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(place)
+        counts[name] = seen.get["n"]
+    return counts
+
+
+def _landed(spark: SparkSession, path: str, schema: StructType, time_format: str | None) -> DataFrame:
+    r = spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
+    r = r.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("nanValue", "NaN").option("enforceSchema", True)
     if time_format:
         r = r.option("timestampNTZFormat", time_format).option("timestampFormat", time_format)
     return r.csv(path)

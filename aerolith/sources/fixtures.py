@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from aerolith.functions.timeutil import hour_floor, ntz_lit
+from aerolith.operators.select import materialised
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -114,15 +115,28 @@ def hourly_readings(spark: SparkSession, sf_dir: str, before: datetime | None =
     )
 
 
+def landed(spark: SparkSession, sf_dir: str, before: datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    """``air`` and ``weather``, both read from one written table of hourly readings: ``events`` is scanned and aggregated once."""
+    h = materialised(hourly_readings(spark, sf_dir, before), "hourly")
+    return _air(h), _weather(h)
+
+
+def _air(hourly: DataFrame) -> DataFrame:
+    return hourly.where(F.col("__n_air") > 0).select("station", "time", *AIR_COLUMNS)
+
+
+def _weather(hourly: DataFrame) -> DataFrame:
+    return hourly.select("station", "time", *WEATHER_RAW_COLUMNS)
+
+
 def air(spark: SparkSession, sf_dir: str, before: datetime | None = None) -> DataFrame:
     """Hourly pollutant readings per station (up to ``before``, if given)."""
-    h = hourly_readings(spark, sf_dir, before)
-    return h.where(F.col("__n_air") > 0).select("station", "time", *AIR_COLUMNS)
+    return _air(hourly_readings(spark, sf_dir, before))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather readings per station, past and forecast hours."""
-    return hourly_readings(spark, sf_dir).select("station", "time", *WEATHER_RAW_COLUMNS)
+    return _weather(hourly_readings(spark, sf_dir))
 
 
 def future_weather(spark: SparkSession, sf_dir: str, before: datetime | None = None) -> DataFrame:
