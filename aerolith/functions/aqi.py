@@ -134,9 +134,19 @@ def overall_aqi(pm25="pm2_5", pm10="pm10", no2="nitrogen_dioxide", so2="sulphur_
     return F.expr(overall_aqi_sql(pm25, pm10, no2, so2, co, mode))
 
 
-def pm25_forecast_index(c="pm2_5") -> Column:
-    """Forecast index from PM2.5 (F12): 6 bands, everything else (gaps, negatives, NULL) 500."""
+def pm25_forecast_index(c="pm2_5", mode: str = "reference") -> Column:
+    """Forecast index from PM2.5 in six bands.
+
+    ``"reference"``: everything outside the bands (gaps, negatives, NULL) is 500.  ``"epa"``: the value is truncated to tenths, so that
+    there are no gaps; NULL and negatives are NULL, above the top band it is 500 (D2).
+    """
     c = f"CAST({_sql(c)} AS DOUBLE)"
+    if mode == "epa":
+        top = PM25_FORECAST_BANDS[-1][1]
+        inside = _truncated_sql(c, PM25_FORECAST_BANDS, 10)
+        return F.expr(f"CASE WHEN {c} >= {_d(0)} THEN CASE WHEN floor(round({c} * {_d(10)}, 6)) > {_d(top * 10)} THEN CAST({FORECAST_OUTSIDE} AS BIGINT) ELSE {inside} END END")
+    if mode != "reference":
+        raise ValueError(f"unknown mode {mode!r}")
     whens = " ".join(f"WHEN {c} >= {_d(b[0])} AND {c} <= {_d(b[1])} THEN CAST(bround({_linear(c, b)}, 0) AS BIGINT)"
                      for b in PM25_FORECAST_BANDS)
     return F.expr(f"CASE {whens} ELSE CAST({FORECAST_OUTSIDE} AS BIGINT) END")

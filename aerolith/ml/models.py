@@ -1,28 +1,35 @@
-"""Multi-output regression with MLlib (M2-M6).
+"""Multi-output regression with MLlib (M2-M6): an estimator, its model, and their files.
 
-The reference fits one multi-output model; MLlib estimators take one label, so one
-``Pipeline(VectorAssembler, regressor)`` is fitted per target.  Fits run distributed
-(each is a Spark job over all rows); the five per-target fits are submitted from a
-small driver thread pool so their jobs share the cluster.  Predictions are added as
-``pred_<target>`` columns on the scored rows (no positional glue, J5).
+The reference fits one multi-output model; MLlib estimators take one label, so ``MultiOutputRegressor`` fits one
+``VectorAssembler`` + regressor pipeline per target on one materialised frame: the rows without a missing feature or target
+are written to the shared folder once, and the five fits, submitted from a small driver thread pool, read that.
+Predictions are added as ``pred_<target>`` columns on the scored rows (no positional glue, J5).
 
-Settings of the reference: forest 100 trees depth 10 seed 42; boosting 100 rounds,
-depth 6, rate 0.1.  They are the defaults here; tests use small settings.
+A saved model holds its own description: kind, settings, features in their order, targets and the metrics of its evaluation
+(the estimator's params in the metadata file of ``pyspark.ml``), and a pipeline for each target.  So loading needs a path only.
+
+Settings of the reference: forest 100 trees depth 10 seed 42; boosting 100 rounds, depth 6, rate 0.1.  They are the
+defaults here; tests use small settings.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.config import POLLUTANTS, model_features
+from aerolith.config import POLLUTANTS, model_features, scratch_path
 from aerolith.functions.aqi import pm25_forecast_index
+from aerolith.operators.clean import drop_any_null, fill_zero
+from aerolith.sources.store import delete
 
 FEATURES_COL = "__features"
 
@@ -31,6 +38,7 @@ def estimator(kind: str, label: str, pred: str, **params):
     if kind == "linear":  # M2 (N6 ridge with regParam > 0)
         return LinearRegression(featuresCol=FEATURES_COL, labelCol=label, predictionCol=pred,
                                 regParam=params.get("regParam", 0.0), elasticNetParam=0.0,
+                                standardization=params.get("standardization", True),
                                 solver=params.get("solver", "normal"))
     if kind == "forest":  # M3
         return RandomForestRegressor(featuresCol=FEATURES_COL, labelCol=label, predictionCol=pred,
@@ -43,50 +51,106 @@ def estimator(kind: str, label: str, pred: str, **params):
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-class MultiOutputModel:
-    """One fitted pipeline per target, sharing the saved feature list."""
+class _Described(Params):
+    """What both the estimator and its model know."""
+
+    kind = Param(Params._dummy(), "kind", "linear, forest or gbt", typeConverter=TypeConverters.toString)
+    features = Param(Params._dummy(), "features", "the inputs, in their order", typeConverter=TypeConverters.toListString)
+    targets = Param(Params._dummy(), "targets", "the outputs", typeConverter=TypeConverters.toListString)
+    settings = Param(Params._dummy(), "settings", "the regressor's settings as JSON", typeConverter=TypeConverters.toString)
+
+
+class MultiOutputRegressor(Estimator, _Described, MLWritable, MLReadable):
+    """M2-M4: one regressor per target.  Rows with a missing feature or target are not learnt from (P10)."""
+
+    def __init__(self, kind: str = "linear", features: Sequence[str] | None = None, targets: Sequence[str] = POLLUTANTS, parallel: int = 5, **settings):
+        super().__init__()
+        self.parallel = parallel
+        self._set(kind=kind, features=list(features or model_features()), targets=list(targets), settings=json.dumps(settings, sort_keys=True))
+
+    def _fit(self, dataset: DataFrame) -> "MultiOutputModel":
+        kind, features, targets = self.getOrDefault("kind"), self.getOrDefault("features"), self.getOrDefault("targets")
+        settings = json.loads(self.getOrDefault("settings"))
+        spark = dataset.sparkSession
+        path = scratch_path(spark, "training")
+        drop_any_null(dataset.select(*dict.fromkeys([*features, *targets]))).write.parquet(path)
+        rows = spark.read.parquet(path)
+
+        def one(t):
+            stages = [VectorAssembler(inputCols=features, outputCol=FEATURES_COL), estimator(kind, t, f"pred_{t}", **settings)]
+            return Pipeline(stages=stages).fit(rows)
+
+        with ThreadPoolExecutor(max_workers=max(1, self.parallel)) as pool:
+            fitted = dict(zip(targets, pool.map(one, targets), strict=True))
+        samples = rows.count()
+        delete(spark, path)
+        model = MultiOutputModel(fitted, samples)
+        return self._copyValues(model)
+
+    def write(self) -> MLWriter:
+        return DefaultParamsWriter(self)
 
-    def __init__(self, models: dict[str, PipelineModel], features: Sequence[str], kind: str):
-        self.models = models
-        self.features = list(features)
-        self.kind = kind
+    @classmethod
+    def read(cls) -> MLReader:
+        return DefaultParamsReader(cls)
+
+
+class MultiOutputModel(Model, _Described, MLWritable, MLReadable):
+    """One fitted pipeline per target with the feature list it was trained on (P18, D10) and the metrics of its evaluation."""
+
+    def __init__(self, models: dict[str, PipelineModel] | None = None, samples: int = 0, metrics: dict[str, float] | None = None):
+        super().__init__()
+        self.models, self.samples, self.metrics = models or {}, samples, metrics or {}
+
+    @property
+    def feature_list(self) -> list[str]:
+        return self.getOrDefault("features")
 
-    def transform(self, df: DataFrame, fill_zero: bool = True) -> DataFrame:
-        """M5: add ``pred_<target>``; missing inputs are 0.0 (P6, P8) as at prediction time."""
-        x = df
-        for f in self.features:
-            if f not in x.columns:
-                x = x.withColumn(f, F.lit(0.0))
-        if fill_zero:
-            x = x.na.fill(0.0, subset=self.features).na.fill(0, subset=self.features)
-        for t, m in self.models.items():
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        """M5: add ``pred_<target>``; a missing input, column or value, is 0.0 (P6, P8) as the reference has it at prediction time."""
+        features = self.getOrDefault("features")
+        x = dataset.withColumns({f: F.lit(0.0) for f in features if f not in dataset.columns})
+        x = fill_zero(x, features)
+        for m in self.models.values():
             x = m.transform(x).drop(FEATURES_COL)
         return x
 
-    def save(self, path: str) -> None:
-        """One MLWriter directory per target under ``path``."""
-        for t, m in self.models.items():
-            m.write().overwrite().save(f"{path.rstrip('/')}/{t}")
+    def write(self) -> MLWriter:
+        return _ModelWriter(self)
 
     @classmethod
-    def load(cls, path: str, targets: Sequence[str], features: Sequence[str], kind: str) -> "MultiOutputModel":
-        return cls({t: PipelineModel.load(f"{path.rstrip('/')}/{t}") for t in targets}, features, kind)
+    def read(cls) -> MLReader:
+        return _ModelReader()
+
+
+class _ModelWriter(MLWriter):
+    """The metadata file, and an MLWriter directory per target."""
+
+    def __init__(self, model: MultiOutputModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        more = {"metrics": self.model.metrics, "samples": self.model.samples}
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, extraMetadata=more)
+        for t, m in self.model.models.items():
+            m.write().save(f"{path.rstrip('/')}/target={t}")
 
 
-def fit(train: DataFrame, kind: str = "linear", features: Sequence[str] | None = None,
-        targets: Sequence[str] = POLLUTANTS, parallel: int = 5, **params) -> MultiOutputModel:
-    """M2-M4: fit one pipeline per target (rows with a missing label are skipped)."""
-    features = list(features or model_features())
-    x = train.na.fill(0.0, subset=features)
+class _ModelReader(MLReader):
+    def load(self, path: str) -> MultiOutputModel:
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        targets = meta["paramMap"]["targets"]
+        model = MultiOutputModel({t: PipelineModel.load(f"{path.rstrip('/')}/target={t}") for t in targets}, meta["samples"], meta["metrics"])
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model
 
-    def one(t):
-        asm = VectorAssembler(inputCols=features, outputCol=FEATURES_COL, handleInvalid="keep")
-        p = Pipeline(stages=[asm, estimator(kind, t, f"pred_{t}", **params)])
-        return t, p.fit(x.where(F.col(t).isNotNull()))
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
-        models = dict(ex.map(one, targets))
-    return MultiOutputModel({t: models[t] for t in targets}, features, kind)
+def fit(train: DataFrame, kind: str = "linear", features: Sequence[str] | None = None, targets: Sequence[str] = POLLUTANTS, parallel: int = 5,
+        **settings) -> MultiOutputModel:
+    """M2-M4 in one call."""
+    return MultiOutputRegressor(kind, features, targets, parallel, **settings).fit(train)
 
 
 def score_forecast(model: MultiOutputModel, future_features: DataFrame) -> DataFrame:
@@ -100,6 +164,6 @@ def linear_coefficients(model: MultiOutputModel) -> tuple[dict, dict]:
     coefs, inter = {}, {}
     for t, pm in model.models.items():
         lr = pm.stages[-1]
-        coefs[t] = dict(zip(model.features, [float(v) for v in lr.coefficients.toArray()]))
+        coefs[t] = dict(zip(model.feature_list, [float(v) for v in lr.coefficients.toArray()], strict=True))
         inter[t] = float(lr.intercept)
     return coefs, inter

@@ -19,8 +19,8 @@ def air_clean(spark, sf_dir):
 
 
 def merged(spark, sf_dir):
-    return features.merge_clean(fx.air(spark, sf_dir), fx.weather(spark, sf_dir))
+    return features.merge_clean(*fx.landed(spark, sf_dir))
 
 
-def feature_table(spark, sf_dir, strategy="plain", before=None):
-    return features.build_features(fx.air(spark, sf_dir, before), fx.weather(spark, sf_dir), strategy=strategy)
+def feature_table(spark, sf_dir, strategy="auto", before=None):
+    return features.build_features(*fx.landed(spark, sf_dir, before), strategy=strategy)

@@ -72,7 +72,7 @@ def main(argv=None):
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args(argv)
-    from aerolith.config import get_session
+    from aerolith.config import clear_scratch, get_session
     from aerolith.plans import oracle_sql, queries
 
     spark = get_session("local[8]", shuffle_partitions=8)
@@ -87,6 +87,7 @@ def main(argv=None):
             r = dict(name=n, ok=False, error=f"{type(e).__name__}: {str(e)[:600]}")
         bad += r.get("ok") is False
         print(r, flush=True)
+        clear_scratch(spark)
     print(f"{len(names) - bad}/{len(names)} ok")
     return 1 if bad else 0
 

@@ -211,21 +211,17 @@ def quality_report(spark, sf_dir):
     return out.withColumn("n_dropped", F.col("n_merged") - F.col("n_features"))
 
 
-# Fixed values of the second mode's twin: the published PM2.5 bands (low, high, index low, index high) in tenths.
-_EPA_TENTHS = [(0, 120, 0, 50), (121, 354, 51, 100), (355, 554, 101, 150), (555, 1504, 151, 200),
-               (1505, 2504, 201, 300), (2505, 3504, 301, 400), (3505, 5004, 401, 500)]
-
-
-def _epa_sql(c: str) -> str:
-    t = f"CAST(floor(round({c} * CAST(10 AS DOUBLE), 6)) AS BIGINT)"
-    line = lambda b: (f"CAST(round_even(CAST({b[3] - b[2]} AS DOUBLE) * ({t} - {b[0]}) / CAST({b[1] - b[0]} AS DOUBLE) + {b[2]}, 0) AS BIGINT)")
-    return (f"CASE WHEN {c} < 0 THEN NULL " + " ".join(f"WHEN {t} BETWEEN {b[0]} AND {b[1]} THEN {line(b)}" for b in _EPA_TENTHS)
-            + f" WHEN {c} IS NOT NULL THEN {line(_EPA_TENTHS[-1])} END")
-
-
 @query("aqi_epa", sql=f"""{S.base_ctes()}
-SELECT station, time, {_epa_sql('pm2_5')} AS aqi_pm2_5 FROM air""")
+SELECT station, time, {SA.pm25_epa('pm2_5')} AS aqi_pm2_5 FROM air""")
 def aqi_epa(spark, sf_dir):
     """F9, second mode: PM2.5 sub-index of the concentration truncated to tenths, of every raw air hour."""
     a = base.air(spark, sf_dir)
     return a.select("station", "time", A.subindex("pm2_5", A.BANDS["pm2_5"], mode="epa", precision=0.1).alias("aqi_pm2_5"))
+
+
+@query("aqi_pm25_epa", sql=f"""{S.base_ctes()}
+SELECT station, time, {SA.pm25_forecast_epa('pm2_5')} AS us_epa_aqi FROM air""")
+def aqi_pm25_epa(spark, sf_dir):
+    """F12, second mode: PM2.5 forecast index of the concentration truncated to tenths, NULL for missing and negative values."""
+    a = base.air(spark, sf_dir)
+    return a.select("station", "time", A.pm25_forecast_index("pm2_5", mode="epa").alias("us_epa_aqi"))

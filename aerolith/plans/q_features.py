@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-
-
 from aerolith.config import LAG_HOURS, POLLUTANTS, ROLL_HOURS
 from aerolith.functions.calendar import add_calendar
 from aerolith.operators import clean, features, joins, windows
+from aerolith.plans import base
 from aerolith.plans import sqlparts as S
 from aerolith.plans.common import round_doubles
 from aerolith.plans.registry import query
@@ -16,16 +15,12 @@ from aerolith.sources.fixtures import AIR_COLUMNS, WEATHER_RAW_COLUMNS
 _DOUBLES, _INTS = S.feature_columns()
 
 
-def feature_table(spark, sf_dir, strategy="plain"):
-    return features.build_features(fx.air(spark, sf_dir), fx.weather(spark, sf_dir), strategy=strategy)
-
-
 @query("features_full", sql=f"""{S.merged_ctes(S.engineered_cte())}
 SELECT {S.rounded_select(_DOUBLES, ['station', 'time', *_INTS])}
 FROM feat WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _DOUBLES + _INTS)}""")
 def features_full(spark, sf_dir):
     """Flagship: air and weather cleaned, joined, calendar + 20 lags + 20 rolling stats, dropna (P10)."""
-    return round_doubles(feature_table(spark, sf_dir))
+    return round_doubles(base.feature_table(spark, sf_dir))
 
 
 @query("join_air_weather", sql=f"""{S.base_ctes()}
@@ -97,7 +92,3 @@ def rolling_features(spark, sf_dir):
     """Mean and std of the previous 6 and 24 rows on raw air (NULLs skipped)."""
     a = fx.air(spark, sf_dir).select("station", "time", *POLLUTANTS)
     return round_doubles(windows.rolling_features(a).drop(*POLLUTANTS))
-
-
-__all__ = ["feature_table"]
-

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from aerolith.config import LAG_HOURS, POLLUTANTS, ROLL_HOURS
+from aerolith.operators import features, joins
 from aerolith.operators import forecast as FC
-from aerolith.plans import base
 from aerolith.plans import sqlparts as S
 from aerolith.plans.common import round_doubles
 from aerolith.plans.registry import query
@@ -43,22 +43,25 @@ _ROLL = f"""rolls AS (
 _CTES = S.features_ctes(S.future_cte(), _HIST, _FUT, _ASOF, _ROLL, forecast=True)
 
 
-def history(spark, sf_dir):
-    return FC.history_tail(base.feature_table(spark, sf_dir, before=fx.as_of(spark, sf_dir)))
+def inputs(spark, sf_dir):
+    """(history, future): the last rows of each station before the forecast time, and the weather hours after it, from one landed table."""
+    air, weather = fx.landed(spark, sf_dir, fx.as_of(spark, sf_dir))
+    return FC.history_tail(features.build_features(air, weather, strategy="auto")), joins.anti_join_time(weather, air, ["station"])
 
 
 @query("history_tail", sql=f"""{S.features_ctes(_HIST, forecast=True)}
 SELECT station, time, {S.rounded_select(POLLUTANTS, [])} FROM hist""")
 def history_tail(spark, sf_dir):
     """O2: the last 48 feature rows per station (lag context of the forecast)."""
-    return round_doubles(history(spark, sf_dir).select("station", "time", *POLLUTANTS))
+    return round_doubles(inputs(spark, sf_dir)[0].select("station", "time", *POLLUTANTS))
 
 
 @query("asof_lag", sql=f"""{_CTES}
 SELECT station, time, {S.rounded_select(_LAGS, [])} FROM asof_l""")
 def asof_lag(spark, sf_dir):
     """Per future hour and lag k, the reading of the last history row at or before t - k hours."""
-    f = FC.forecast_features(history(spark, sf_dir), fx.future_weather(spark, sf_dir).select("station", "time"),
+    history, future = inputs(spark, sf_dir)
+    f = FC.forecast_features(history, future.select("station", "time"),
                              include_rolling=False, include_calendar=False)
     return round_doubles(f)
 
@@ -67,7 +70,8 @@ def asof_lag(spark, sf_dir):
 SELECT station, time, {S.rounded_select(_ROLLS, [])} FROM rolls""")
 def interval_join_stats(spark, sf_dir):
     """mean/std over history rows in [t - 6 h, t) and [t - 24 h, t) per future hour."""
-    f = FC.forecast_features(history(spark, sf_dir), fx.future_weather(spark, sf_dir).select("station", "time"),
+    history, future = inputs(spark, sf_dir)
+    f = FC.forecast_features(history, future.select("station", "time"),
                              include_lags=False, include_calendar=False)
     return round_doubles(f)
 
@@ -77,4 +81,4 @@ SELECT station, time, {S.calendar_select()}, {S.rounded_select(WEATHER_RAW_COLUM
 FROM future JOIN asof_l USING (station, time) JOIN rolls USING (station, time)""")
 def forecast_features(spark, sf_dir):
     """W5 + J3 + F1/F2: the full feature row of every future hour (weather, calendar, lags, rolling)."""
-    return round_doubles(FC.forecast_features(history(spark, sf_dir), fx.future_weather(spark, sf_dir)))
+    return round_doubles(FC.forecast_features(*inputs(spark, sf_dir)))

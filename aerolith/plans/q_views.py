@@ -43,8 +43,7 @@ def view_time(spark, sf_dir):
 
 
 def predictions(spark, sf_dir):
-    f = FC.forecast_features(QF.history(spark, sf_dir), fx.future_weather(spark, sf_dir), include_rolling=False,
-                             include_calendar=False)
+    f = FC.forecast_features(*QF.inputs(spark, sf_dir), include_rolling=False, include_calendar=False)
     p = f.select("station", "time", *WEATHER_RAW_COLUMNS,
                  *[F.col(f"{p}_lag_1h").alias(f"pred_{p}") for p in POLLUTANTS])
     return p.withColumn("us_epa_aqi", A.pm25_forecast_index("pred_pm2_5"))
@@ -177,6 +176,6 @@ def forecast(spark, sf_dir):
     """Linear models fitted on the train part, scored on the 72 future hours (rows-only check)."""
     train = chrono_split(base.feature_table(spark, sf_dir)).where(~F.col("is_test"))
     m = models.fit(train, "linear")
-    fut = FC.forecast_features(QF.history(spark, sf_dir), fx.future_weather(spark, sf_dir))
+    fut = FC.forecast_features(*QF.inputs(spark, sf_dir))
     out = models.score_forecast(m, fut)
     return round_doubles(out.select("station", "time", *WEATHER_RAW_COLUMNS, *_PREDS_COLS, "us_epa_aqi"))

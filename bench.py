@@ -32,7 +32,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
-    from aerolith.config import get_session
+    from aerolith.config import clear_scratch, get_session
     from aerolith.plans import queries
 
     spark = get_session(f"local[{cpus}]", app="aerolith-bench", shuffle_partitions=int(cpus))
@@ -56,6 +56,7 @@ def main():
         "sf": float(m.group(1)) if m else sf_dir,
     }
     print(json.dumps(out))
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -1,11 +1,16 @@
 """MLlib models: linear fit vs normal equations, attribution invariant, trees, importance, save/load."""
 
+import json
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from aerolith.config import scratch_path
-from aerolith.ml import explain, models
+from aerolith.ml import explain, models, shapley, training
 from aerolith.operators import features
+from aerolith.config import POLLUTANTS
+from aerolith.operators import views
 from aerolith.operators.evaluation import chrono_split, metrics
 from aerolith.sources import fixtures as fx
 
@@ -50,7 +55,122 @@ def test_trees_beat_nothing_and_importance(spark):
         assert len(imp) == len(FEATS) and abs(sum(x.importance for x in imp) - 1.0) < 1e-6
     path = scratch_path(spark, "model")
     m.save(path)
-    back = models.MultiOutputModel.load(path, ["pm2_5"], FEATS, "gbt")
+    back = models.MultiOutputModel.load(path)
+    assert back.feature_list == FEATS and back.getOrDefault("kind") == "gbt" and back.samples == m.samples
     a = m.transform(test).select("station", "time", "pred_pm2_5").collect()
     b = back.transform(test).select("station", "time", "pred_pm2_5").collect()
     assert sorted(a) == sorted(b)
+
+
+LAGS = [f"{p}_lag_1h" for p in POLLUTANTS]
+CANDIDATES = {"linear": {"kind": "linear"}, "ridge": {"kind": "linear", "regParam": 5.0}, "forest": {"kind": "forest", "numTrees": 8, "maxDepth": 4},
+              "boosting": {"kind": "gbt", "maxIter": 4, "maxDepth": 2}}
+
+
+def _features(spark):
+    return features.build_features(fx.air(spark, SF_SMALL), fx.weather(spark, SF_SMALL))
+
+
+def test_training_job_end_to_end(spark):
+    """Fit all kinds, evaluate, append, save, load the best by metric and direction, score."""
+    table, root = _features(spark), scratch_path(spark, "t-models")
+    inputs = [*LAGS, "temperature_2m", "hour"]
+    first = training.train(table, root, CANDIDATES, inputs, tiebreak=["station"], note="first")
+    rows = {r.model_name: r for r in first.collect()}
+    assert set(rows) == set(CANDIDATES) and all(r.features == inputs and r.targets == POLLUTANTS for r in rows.values())
+    n = table.count()
+    assert all(r.train_samples == int(n * 0.8) for r in rows.values())
+
+    # Against persistence (the last hour's value, often the very reading, as gaps are filled forward) on the same test rows.
+    test = chrono_split(table, (), tiebreak=["station"]).where("is_test").withColumns({f"pred_{p}": F.col(f"{p}_lag_1h") for p in POLLUTANTS})
+    persistence = metrics(test).agg(F.avg("mae").alias("mae"), F.avg("rmse").alias("rmse")).first()
+    assert all(rows[m].rmse < persistence.rmse for m in ("linear", "ridge"))
+    assert all(r.rmse < 1.1 * persistence.rmse and r.r2 > 0.45 for r in rows.values())
+
+    training.train(table, root, {"linear": {"kind": "linear"}}, ["hour"], tiebreak=["station"], note="second")
+    runs = training.runs(spark, root).collect()
+    assert len(runs) == 5 and {r.experiment_note for r in runs} == {"first", "second"} and len({r.run for r in runs}) == 2
+    for metric, direction, choose in (("mae", "min", min), ("r2", "max", max)):
+        want = choose(sorted(runs, key=lambda r: r.model_name), key=lambda r: r[metric])
+        best = training.load_best(spark, root, metric, direction)
+        assert best.metrics[metric] == want[metric] and best.feature_list == want.features and best.samples == want.train_samples
+    record = json.loads("".join(r.value for r in spark.read.text(f"{root}/latest").collect()))
+    assert record["model_name"] == "linear" and record["features"] == ["hour"] and record["timestamp"]
+
+    scored = best.transform(table.select("station", "time", *best.feature_list[:3]))  # missing columns are 0.0
+    assert scored.where(" OR ".join(f"pred_{p} IS NULL" for p in POLLUTANTS)).isEmpty() and scored.count() == n
+
+
+def test_load_without_a_run_falls_back(spark):
+    root = scratch_path(spark, "t-none")
+    with pytest.raises(FileNotFoundError):
+        training.load_best(spark, root)
+    m = models.fit(_features(spark), "linear", ["hour"], ["pm2_5"])
+    m.save(f"{root}/local")
+    assert training.load_best(spark, root, fallback=f"{root}/local").feature_list == ["hour"]
+
+
+def test_rows_with_missing_values_are_not_learnt_from(spark):
+    rows = [(float(i), 2.0 * i + 1) for i in range(40)] + [(None, 500.0)] * 5 + [(3.0, None)] * 5
+    m = models.fit(spark.createDataFrame(rows, "x double, y double"), "linear", ["x"], ["y"])
+    coefs, inter = models.linear_coefficients(m)
+    assert m.samples == 40 and np.isclose(coefs["y"]["x"], 2.0) and np.isclose(inter["y"], 1.0)
+
+
+def test_ridge_matches_its_normal_equations(spark):
+    """N6 without standardization: mean squared error / 2 + regParam / (2 * deviation of the label) * |w|^2 (MLlib's scale), the intercept free."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(200, 3)) * [1.0, 4.0, 0.5]
+    y = x @ [2.0, -1.0, 0.5] + 3 + rng.normal(size=200)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y, strict=True)], "a double, b double, c double, y double")
+    lam = 0.7
+    m = models.fit(df, "linear", ["a", "b", "c"], ["y"], regParam=lam, standardization=False)
+    xc, yc = x - x.mean(0), y - y.mean()
+    want = np.linalg.solve(xc.T @ xc / 200 + lam / y.std() * np.eye(3), xc.T @ yc / 200)
+    coefs, inter = models.linear_coefficients(m)
+    assert np.allclose([coefs["y"][c] for c in "abc"], want, rtol=1e-6) and np.isclose(inter["y"], y.mean() - x.mean(0) @ want)
+    plain, _ = models.linear_coefficients(models.fit(df, "linear", ["a", "b", "c"], ["y"]))
+    assert sum(v * v for v in coefs["y"].values()) < sum(v * v for v in plain["y"].values())
+
+
+def test_sampled_attribution_of_trees_sums_to_the_prediction(spark):
+    table = _features(spark)
+    targets = ["pm2_5", "pm10"]
+    m = models.fit(table, "forest", FEATS, targets, numTrees=6, maxDepth=4)
+    rows = views.sample_rows(table, 20).select("station", "time", *FEATS)
+    for background in (None, views.sample_rows(table, 5, seed=1).select(*FEATS)):
+        a = shapley.sampled_shapley(rows, m.transform, FEATS, targets, background=background, permutations=6).toPandas()
+        assert len(a) == 20 * len(FEATS) * 2
+        total = a.groupby(["station", "time", "target"]).agg(s=("contribution", "sum"), base=("base", "first"), p=("prediction", "first"))
+        assert np.allclose(total.s + total.base, total.p)
+        want = m.transform(rows).toPandas().set_index(["station", "time"])
+        assert np.allclose([want.loc[(s, t), f"pred_{k}"] for s, t, k in total.index], total.p)
+    again = shapley.sampled_shapley(rows, m.transform, FEATS, targets, background=background, permutations=6).toPandas()
+    key = ["station", "time", "target", "feature"]
+    assert np.allclose(a.sort_values(key).contribution, again.sort_values(key).contribution)
+
+
+def test_sampled_attribution_tends_to_the_exact_one(spark):
+    """A product of two inputs and an unused third: the exact Shapley values by all orders."""
+    from itertools import permutations
+
+    df = spark.createDataFrame([(i, float(i), float(i * i % 7), float(i % 3)) for i in range(6)], "id long, a double, b double, c double")
+    score = lambda d: d.withColumn("pred_y", F.col("a") * F.col("b") + F.col("a"))
+    got = {(r.id, r.feature): r for r in shapley.sampled_shapley(df, score, ["a", "b", "c"], ["y"], keep=["id"], permutations=400).collect()}
+    pdf = df.toPandas()
+    mean = pdf[["a", "b", "c"]].mean().to_dict()
+    f = lambda v: v["a"] * v["b"] + v["a"]
+    for row in pdf.to_dict("records"):
+        exact = dict.fromkeys("abc", 0.0)
+        for order in permutations("abc"):
+            v = dict(mean)
+            for k in order:
+                before = f(v)
+                v[k] = row[k]
+                exact[k] += (f(v) - before) / 6
+        for k in "abc":
+            assert abs(got[row["id"], k].contribution - exact[k]) < 0.8 and got[row["id"], k].value == row[k]
+        assert np.isclose(sum(got[row["id"], k].contribution for k in "abc") + got[row["id"], "a"].base, f(row))
+        assert got[row["id"], "c"].contribution == 0
+    with pytest.raises(ValueError):
+        shapley.sampled_shapley(df, score, ["a", "b", "c"], ["y"], keep=["id"], background=df.where("false"))
