@@ -15,9 +15,10 @@ offset.  Spark numbers the pieces of each length (a task numbers its own; the co
 added) and looks each number up in the plan, which is broadcast: at most a few runs for each length.  No piece is shuffled by
 its length, so a length that a third of all pieces share does not land in one task.
 
-Texts are tokenized a few megabytes at a time: words between ASCII white space are encoded once for a worker and put together
-again by vector operations.  That gives the ids of the whole text, since this tokenizer's pre-tokenizer drops white space and no
-token, special token or normalization reaches across it (``tests/llm`` compares both).
+Texts are tokenized a few megabytes at a time: words are encoded once for a worker and put together
+again by vector operations.  Words end at ASCII white space and where ASCII letters, digits and punctuation meet (but for apostrophes), in lower case.
+That gives the ids of the whole text, since this tokenizer's pre-tokenizer drops white space and cuts there, and no token or normalization
+reaches across (``tests/llm`` compares both); texts of a tokenizer with other rules are encoded whole.
 
 Defined results: a null or empty text is the end id alone; equal rows are separate documents; a text that names a special token gets its
 id, as the library does by default; an empty table gives no rows.  Other columns are not read.  Numbers depend on how the rows
@@ -26,6 +27,8 @@ are dealt to tasks, so reruns may swap pieces of equal length; counts of sequenc
 
 from __future__ import annotations
 
+import json
+import os
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from functools import lru_cache
@@ -49,7 +52,6 @@ CACHE_WORDS = 1 << 19
 PIECE_BYTES = 1 << 22
 #: New words that are encoded as one text.
 TOGETHER = 200
-_SPECIAL = b"<|"
 
 
 def tokenizer_path() -> str:
@@ -61,60 +63,78 @@ def tokenizer_path() -> str:
 # ---------------------------------------------------------------- tokens
 
 
+#: The pre-tokenizer whose words can be encoded apart: contractions, runs of letters, single digits, runs of anything else; no white space.
+_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+@lru_cache(1)
+def _ascii() -> tuple[np.ndarray, np.ndarray]:
+    """The class of each byte (letter, digit, punctuation; 0: others and the apostrophe, of which contractions are made) and its lower case."""
+    kind, lower = np.zeros(256, np.uint8), np.arange(256, dtype=np.uint8)
+    kind[[*range(65, 91), *range(97, 123)]] = 1
+    kind[48:58] = 2
+    kind[[c for c in range(33, 127) if not kind[c] and c != 39]] = 3
+    lower[65:91] += 32
+    return kind, lower
+
+
 class WordEncoder:
     """Token ids of whole texts from the ids of their words."""
 
     def __init__(self, path: str):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.mark = next((t.content for t in added.values() if t.special and _SPECIAL.decode() in t.content), None)
-        self.mark_id = self.tokenizer.token_to_id(self.mark) if self.mark else None
+        rules = json.loads(self.tokenizer.to_str())
+        split = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.apart = (split.get("pattern") == {"Regex": _APART} and split.get("invert") is True and split.get("behavior") == "Removed"
+                      and {"type": "Lowercase"} in rules["normalizer"]["normalizers"] and bool(self.special))
+        if self.apart:
+            self.mark, self.mark_id = self.special[0], self.tokenizer.token_to_id(self.special[0])
         self.forget()
 
     def forget(self) -> None:
         self.at: dict[bytes, int] = {}
         self.ids, self.start, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[bytes]) -> None:
-        """Encode new words: many at once with a special token between them, one by one where they may hold one."""
-        plain = [w for w in words if self.mark and _SPECIAL not in w]
-        odd = [w for w in words if not self.mark or _SPECIAL in w]
+        """Encode new words, many as one text with a special token between them (none of them holds one)."""
         found, counts = [], []
-        for text in self.tokenizer.encode_batch_fast(
-                [f" {self.mark} ".join(w.decode("utf-8") for w in plain[i : i + TOGETHER]) for i in range(0, len(plain), TOGETHER)], add_special_tokens=False):
-            ids = np.array(text.ids, np.uint32)
+        mark = f" {self.mark} ".encode()
+        for ids in self.whole([mark.join(words[i : i + TOGETHER]).decode("utf-8") for i in range(0, len(words), TOGETHER)]):
             edges = np.concatenate([[-1], np.flatnonzero(ids == self.mark_id), [len(ids)]])
             found.append(ids[ids != self.mark_id])
             counts.append(np.diff(edges) - 1)
-        for w in odd:
-            ids = self.encode(w.decode("utf-8"))
-            found.append(ids)
-            counts.append(np.array([len(ids)]))
         counts = np.concatenate(counts).astype(np.int64)
         base = len(self.at)
-        self.at.update((w, base + i) for i, w in enumerate([*plain, *odd]))
+        self.at.update(zip(words, range(base, base + len(words)), strict=True))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(counts) - counts])
         self.count = np.concatenate([self.count, counts])
         self.ids = np.concatenate([self.ids, *found])
 
     def __call__(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with END_ID behind it, and where each text's ids end."""
-        raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
-        data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+        texts = [t or "" for t in texts]
+        if not self.apart or any(x in t for t in texts if "<|" in t for x in self.special):
+            found = [np.append(ids, np.uint32(END_ID)) for ids in self.whole(texts)]
+            return np.concatenate([np.zeros(0, np.uint32), *found]), np.cumsum([len(f) for f in found], dtype=np.int64)
+        raw = [t.encode("utf-8") for t in texts]
+        kind, lower = _ascii()
+        data = lower[np.frombuffer(b"\n".join([*raw, b""]), np.uint8)]
         ends = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)
-        inside = ((data != 0x20) & ((data < 0x09) | (data > 0x0D))).view(np.int8)
-        edge = np.diff(inside, prepend=np.int8(0), append=np.int8(0))
-        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside.view(bool)])])
+        inside = (data != 0x20) & ((data < 0x09) | (data > 0x0D))
+        what = kind[data]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1] | ((what[1:] != what[:-1]) & (what[1:] > 0) & (what[:-1] > 0))
+        start = np.flatnonzero(begins)
+        letters = data[inside]
+        offsets = np.append((np.cumsum(inside) - 1)[start], len(letters)).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
         coded = words.dictionary_encode()
         unique = coded.dictionary.to_pylist()
         if len(self.at) + len(unique) > CACHE_WORDS:

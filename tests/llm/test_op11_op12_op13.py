@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from aerolith.llm import op11_packing, op12_collocations, op13_manifest
@@ -88,12 +89,18 @@ def test_fixed_sets_keep_the_optimum():
 def test_words_give_the_ids_of_whole_texts():
     rng = random.Random(4)
     encoder = op11_packing.WordEncoder(op11_packing.tokenizer_path())
+    plain = [*"abs'S.,-<|>!0179 \n\t", "'ll", "'re", "''", "é", "\u0338", "ß", "漢"]
     letters = [*"ab'sS .,\n\t é́ΣςİI ß1٣漢字\U0001f600\x1c\x85 　", "<|endoftext|>", "<|startoftext|>", "'ll", "'re", "<|"]
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(1500)] + [None, "", "word " * 30000]
     ids, ends = encoder(texts)
+    assert not encoder.at  # special tokens: whole texts
+    texts2 = ["".join(rng.choice(plain) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + [None, "", "Don't " * 30000, "<|EndOfText|> x"]
+    ids2, ends2 = encoder(texts2)
+    assert encoder.at
+    ids, ends, texts = np.concatenate([ids, ids2]), np.concatenate([ends, ends[-1] + ends2]), texts + texts2
     begin = 0
     for text, end in zip(texts, ends.tolist(), strict=True):
-        assert ids[begin:end].tolist() == encoder.encode(text or "").tolist() + [0], text
+        assert ids[begin:end].tolist() == encoder.whole([text or ""])[0].tolist() + [0], text
         begin = end
 
 
@@ -112,7 +119,7 @@ def test_packed_documents(spark):
     encoder = op11_packing.WordEncoder(op11_packing.tokenizer_path())
     want = Counter()
     for i, t in texts:
-        ids = encoder.encode(t or "").tolist() + [0]
+        ids = encoder.whole([t or ""])[0].tolist() + [0]
         for p in range(0, len(ids), limit):
             cut = ids[p : p + limit]
             want[i, p // limit, p, len(cut), zlib.crc32(struct.pack(f"<{len(cut)}I", *cut)), tuple(cut)] += 1
