@@ -39,15 +39,17 @@ def chrono_split(df: DataFrame, keys: Sequence[str] = ("station",), time_col: st
     last = sizes.where("__n > 0").select(*keys, (cut - 1).alias("rank"))  # the last training row; rank -1 where there is none
     found = select.row_at(df, order, last.where("rank >= 0"), keys)
     marks = [f"__k{i}" for i in range(len(order))]
+    keyed = select.with_order_keys(df, order)
     if not keys:
         row = found.first()
-        return df.withColumn(flag, select.after(df, order, [F.lit(row[k]) for k in marks]) if row else F.lit(True))
-    found = found.select(*[F.col(k).alias(f"__by_{k}") for k in keys], *marks)
+        is_test = select.after(len(order), [F.lit(row[k]) for k in marks]) if row else F.lit(True)
+        return keyed.withColumn(flag, is_test).select(*df.columns, flag)
+    found = found.select(*[F.col(k).alias(f"__by_{k}") for k in keys], *[F.col(k).alias(f"__at{i}") for i, k in enumerate(marks)])
     same = F.lit(True)
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"__by_{k}"))
-    out = df.join(found, same, "left").withColumn(flag, F.coalesce(select.after(df, order, [F.col(k) for k in marks]), F.lit(True)))
-    return out.select(*df.columns, flag)
+    is_test = F.coalesce(select.after(len(order), [F.col(f"__at{i}") for i in range(len(order))]), F.lit(True))
+    return keyed.join(found, same, "left").withColumn(flag, is_test).select(*df.columns, flag)
 
 
 def unpivot_predictions(df: DataFrame, targets: Sequence[str] = POLLUTANTS, pred_prefix: str = "pred_",

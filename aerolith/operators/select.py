@@ -1,20 +1,21 @@
 """Exact order statistics in bounded memory: radix selection on order-preserving integers.
 
-The value at a rank is found digit by digit.  Each pass counts, for the rows that share the digits found so far, how many
+The value at a rank is found digit by digit, from the first bit in which values differ.  Each pass counts, for the rows that share the digits found so far, how many
 fall on each next digit (a partial aggregate: a task holds and sends counters, at most 2**BITS for each wanted rank, never
 the rows or a map of values), adds the counters up in order and keeps the digit that holds the rank.  It stops as soon as
-all rows of that digit are equal, four passes at most.  So neither a hot group nor a column of distinct values lands in one task,
+all rows of that digit are equal, six passes at most.  So neither a hot group nor a column of distinct values lands in one task,
 and nothing is sorted but counters.
 
-Doubles are compared by a 64-bit integer in the same order (sign, exponent, mantissa; ``double_key``), built from exact arithmetic;
+Doubles are compared by a 64-bit integer in the same order (sign, exponent, mantissa; ``with_double_key``), built from exact arithmetic;
 NaN and NULL have none and take no part.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from aerolith.config import scratch_path
@@ -42,22 +43,26 @@ def dropped(*tables: DataFrame) -> None:
             delete(df.sparkSession, folder)
 
 
-def double_key(x: Column) -> Column:
-    """A long that sorts as the double ``x`` does; NULL for NULL and NaN.  0.0 and -0.0 are one value."""
-    x = x.cast("double")
-    a = F.abs(x)
-    guess = F.greatest(F.least(F.floor(F.log2(a)), F.lit(1023)), F.lit(-1022))  # may be off by one
-    power = lambda e: F.pow(F.lit(2.0), e.cast("double"))
-    down = (a < power(guess)) & (guess > -1022)
-    up = (guess < 1023) & (a / power(guess) >= 2)
-    e = guess + F.when(down, -1).when(up, 1).otherwise(0)
-    size = (a / power(e) * F.lit(_TWO52)).cast("long") + (e + 1022).cast("long") * F.lit(1 << 52)
-    size = F.when(a == 0, F.lit(0).cast("long")).when(a == F.lit(float("inf")), F.lit(_INF_KEY)).otherwise(size)
-    return F.when(x.isNull() | F.isnan(x), F.lit(None).cast("long")).when(x < 0, -size).otherwise(size)
+def with_double_key(df: DataFrame, value: str, out: str) -> DataFrame:
+    """Add ``out``, a long that sorts as the double ``value`` does; NULL for NULL and NaN.  0.0 and -0.0 are one value.
+
+    In steps, so that the logarithm and the power of two are computed once a row.
+    """
+    a, e, p = F.col("__a"), F.col("__e"), F.col("__p")
+    df = df.withColumn("__x", F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")))
+    df = df.withColumn("__a", F.least(F.abs("__x"), F.lit(sys.float_info.max)))
+    df = df.withColumn("__e", F.greatest(F.least(F.floor(F.log2(a)), F.lit(1023)), F.lit(-1022)).cast("long"))  # may be off by one
+    df = df.withColumn("__p", F.pow(F.lit(2.0), e.cast("double")))
+    df = df.withColumn("__off", F.when((a < p) & (e > -1022), -1).when((a / p >= 2) & (e < 1023), 1).otherwise(0))
+    exact = F.when(F.col("__off") == -1, p / 2).when(F.col("__off") == 1, p * 2).otherwise(p)
+    df = df.withColumn("__size", (a / exact * F.lit(_TWO52)).cast("long") + (e + F.col("__off") + 1022) * F.lit(1 << 52))
+    size = F.when(a == 0, F.lit(0).cast("long")).when(F.abs("__x") == F.lit(float("inf")), F.lit(_INF_KEY)).otherwise(F.col("__size"))
+    key = F.when(F.col("__x") < 0, -size).otherwise(size)
+    return df.withColumn(out, F.when(F.col("__x").isNotNull(), key)).drop("__x", "__a", "__e", "__p", "__off", "__size")
 
 
 def key_double(key: Column) -> Column:
-    """The double of a ``double_key``."""
+    """The double of a key that ``with_double_key`` made."""
     size = F.abs(key)
     biased = F.call_function("shiftright", size, F.lit(52))
     mantissa = size.bitwiseAND(F.lit((1 << 52) - 1))
@@ -68,18 +73,30 @@ def key_double(key: Column) -> Column:
     return F.when(key < 0, -a).otherwise(a)
 
 
-def order_key(df: DataFrame, column: str) -> Column:
-    """A long that sorts as the column does: times, numbers, booleans."""
-    kind = df.schema[column].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz"):
-        return epoch_micros(column)
-    if kind == "date":
-        return F.unix_date(F.col(column)).cast("long")
-    if kind in ("byte", "short", "integer", "long", "boolean"):
-        return F.col(column).cast("long")
-    if kind in ("float", "double"):
-        return double_key(F.col(column))
-    raise ValueError(f"column {column!r} of type {kind} has no integer order")
+def with_order_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``__k0``, ``__k1``, ...: longs that sort as the columns do (times, numbers, booleans; NULL first)."""
+    for i, column in enumerate(columns):
+        kind, out = df.schema[column].dataType.typeName(), f"__k{i}"
+        if kind in ("timestamp", "timestamp_ntz"):
+            df = df.withColumn(out, epoch_micros(column))
+        elif kind == "date":
+            df = df.withColumn(out, F.unix_date(F.col(column)).cast("long"))
+        elif kind in ("byte", "short", "integer", "long", "boolean"):
+            df = df.withColumn(out, F.col(column).cast("long"))
+        elif kind in ("float", "double"):
+            df = with_double_key(df, column, out)
+        else:
+            raise ValueError(f"column {column!r} of type {kind} has no integer order")
+        df = df.withColumn(out, F.coalesce(out, F.lit(-(1 << 63)).cast("long")))
+    return df
+
+
+def _same(by: Sequence[str]) -> Column:
+    """The ``by`` columns equal those named __w_..., missing ones included."""
+    out = F.lit(True)
+    for c in by:
+        out = out & F.col(c).eqNullSafe(F.col(f"__w_{c}"))
+    return out
 
 
 def select(rows: DataFrame, wanted: DataFrame, by: Sequence[str], key: str) -> DataFrame:
@@ -90,48 +107,52 @@ def select(rows: DataFrame, wanted: DataFrame, by: Sequence[str], key: str) -> D
     """
     by = list(by)
     rest = [c for c in wanted.columns if c != "rank"]
-    todo = materialised(wanted.withColumns({"__above": F.lit(0).cast("long"), "__found": F.lit(None).cast("long")}), "ranks")
-    shift, above = 64, F.lit(0).cast("long")
-    while shift:
-        shift -= BITS
+    names = {c: f"__w_{c}" for c in by}
+    todo = wanted.withColumns({"__above": F.lit(0).cast("long"), "__found": F.lit(None).cast("long")})
+    least, most = rows.agg(F.min(key), F.max(key)).first()
+    shift = 0 if least is None else (least ^ most if least >= 0 or most < 0 else (1 << 64) - 1).bit_length()  # the bits above are the same in all rows
+    above = None
+    while True:
+        shift = max(0, shift - BITS)
         digit = F.call_function("shiftright", F.col(key), F.lit(shift))
-        open_ = todo.where("__found is null")
-        same = [F.col(c).eqNullSafe(F.col(f"__w_{c}")) for c in by]
-        asked = open_.select(*[F.col(c).alias(f"__w_{c}") for c in by], F.col("__above").alias("__w")).distinct()
-        cond = above == F.col("__w")
-        for s in same:
-            cond = cond & s
-        cells = rows.join(asked, cond, "left_semi").groupBy(*by, above.alias("__a"), digit.alias("__cell")).agg(
-            F.count(F.lit(1)).alias("__n"), F.min(key).alias("__least"), F.max(key).alias("__most"))
+        open_ = todo if above is None else todo.where("__found is null")
+        if above is None:
+            here = rows.withColumn("__a", F.lit(0).cast("long"))
+        else:
+            asked = open_.select(*by, F.col("__above").alias("__w")).distinct().withColumnsRenamed(names)
+            here = rows.withColumn("__a", above).join(asked, (F.col("__a") == F.col("__w")) & _same(by), "left_semi")
+        cells = here.groupBy(*by, "__a", digit.alias("__cell")).agg(F.count(F.lit(1)).alias("__n"), F.min(key).alias("__least"), F.max(key).alias("__most"))
         upto = F.sum("__n").over(Window.partitionBy(*by, "__a").orderBy("__cell"))
-        cells = cells.withColumn("__upto", upto).withColumnsRenamed({c: f"__w_{c}" for c in by})
-        cond = (F.col("__above") == F.col("__a")) & (F.col("rank") < F.col("__upto")) & (F.col("rank") >= F.col("__upto") - F.col("__n"))
-        for s in same:
-            cond = cond & s
+        cells = cells.withColumn("__upto", upto).withColumnsRenamed(names)
+        held = (F.col("__above") == F.col("__a")) & (F.col("rank") < F.col("__upto")) & (F.col("rank") >= F.col("__upto") - F.col("__n"))
         one = F.when(F.col("__least") == F.col("__most"), F.col("__least"))
-        picked = open_.join(cells, cond).select(
+        picked = open_.join(cells, held & _same(by)).select(
             *rest, (F.col("rank") - F.col("__upto") + F.col("__n")).alias("rank"), F.col("__cell").alias("__above"), one.alias("__found"))
-        last, todo = todo, materialised(picked.unionByName(todo.where("__found is not null")), "ranks")
-        dropped(last)
-        if todo.where("__found is null").isEmpty():
-            break
+        left = Observation()
+        every = picked if above is None else picked.unionByName(todo.where("__found is not null"))
+        last, todo = todo, materialised(every.observe(left, F.count_if(F.col("__found").isNull()).alias("open")), "ranks")
+        if above is not None:
+            dropped(last)
+        if shift == 0 or not left.get["open"]:
+            return todo.drop("__above").withColumnRenamed("__found", key)
         above = digit
-    return todo.drop("__above").withColumnRenamed("__found", key)
 
 
 def quantiles(rows: DataFrame, probs: Sequence[float], by: Sequence[str] = (), value: str = "x") -> DataFrame:
     """by..., n, q0, q1, ...: the exact quantiles of the double column ``value`` with linear interpolation (pandas, numpy); NULL and NaN are left out.
 
-    A group without values gives no row.  ``rows`` should be a materialised table, as it is read a few times.
+    A group without values gives no row.  The keys of the values are written to the shared folder once.
     """
     by, probs = list(by), [float(p) for p in probs]
-    keyed = rows.select(*by, double_key(F.col(value)).alias("__key")).where("__key is not null")
+    there = rows.select(*by, F.col(value).cast("double").alias("__value")).where("__value is not null and not isnan(__value)")
+    keyed = materialised(with_double_key(there, "__value", "__key").select(*by, "__key"), "keys")  # a filter on the key would compute it in the filter
     sizes = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
     place = lambda p: (F.col("n") - 1).cast("double") * F.lit(p)
     ends = F.explode(F.array(*[F.struct(F.lit(i).alias("q"), F.lit(side).alias("high"), (F.ceil(place(p)) if side else F.floor(place(p))).cast("long").alias("rank"))
                                for i, p in enumerate(probs) for side in (0, 1)]))
     wanted = sizes.select(*by, "n", ends.alias("__e")).select(*by, "n", "__e.q", "__e.high", "__e.rank")
     found = select(keyed, wanted, by, "__key").withColumn("__v", key_double(F.col("__key")))
+    dropped(keyed)
     at = lambda i, high: F.max(F.when((F.col("q") == i) & (F.col("high") == high), F.col("__v")))
     wide = found.groupBy(*by, "n").agg(*[at(i, s).alias(f"__{i}_{s}") for i in range(len(probs)) for s in (0, 1)])
     between = lambda i, p: F.col(f"__{i}_0") + F.when(F.col(f"__{i}_1") == F.col(f"__{i}_0"), F.lit(0.0)).otherwise(
@@ -140,22 +161,20 @@ def quantiles(rows: DataFrame, probs: Sequence[float], by: Sequence[str] = (), v
 
 
 def row_at(df: DataFrame, order: Sequence[str], wanted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``wanted`` (``by``, rank from 0) with a column ``__k0``, ``__k1``, ... for each column of ``order``: the ``order_key``s of the row at that rank of its
+    """``wanted`` (``by``, rank from 0) with the order keys ``__k0``, ``__k1``, ... of the row at that rank of its
     group, rows in ascending ``order`` (NULL first).  Equal rows have equal keys; ``rank`` becomes the rank among them."""
     by, keys = list(by), [f"__k{i}" for i in range(len(order))]
-    lowest = F.lit(-(1 << 63)).cast("long")
-    rows = materialised(df.select(*by, *[F.coalesce(order_key(df, c), lowest).alias(k) for c, k in zip(order, keys, strict=True)]), "order")
+    rows = materialised(with_order_keys(df.select(*dict.fromkeys([*by, *order])), order).select(*by, *keys), "order")
     for i, k in enumerate(keys):
         wanted = select(rows, wanted, [*by, *keys[:i]], k)
     dropped(rows)
     return wanted
 
 
-def after(df: DataFrame, order: Sequence[str], keys: Sequence[Column]) -> Column:
-    """Whether a row comes after the one with these ``order_key``s."""
-    lowest = F.lit(-(1 << 63)).cast("long")
+def after(n: int, marks: Sequence[Column]) -> Column:
+    """Whether a row with ``n`` order keys comes after the one with these."""
     out = F.lit(False)
-    for c, k in reversed(list(zip(order, keys, strict=True))):
-        own = F.coalesce(order_key(df, c), lowest)
-        out = (own > k) | ((own == k) & out)
+    for i in reversed(range(n)):
+        own = F.col(f"__k{i}")
+        out = (own > marks[i]) | ((own == marks[i]) & out)
     return out

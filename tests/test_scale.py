@@ -66,7 +66,8 @@ def doubles(rng, n):
 
 def test_keys_sort_as_doubles_and_go_back(spark):
     xs = doubles(random.Random(1), 3000)
-    rows = spark.createDataFrame([(x,) for x in [*xs, None, float("nan")]], "x double").select("x", select.double_key(F.col("x")).alias("k"))
+    rows = spark.createDataFrame([(x,) for x in [*xs, None, float("nan")]], "x double")
+    rows = select.with_double_key(rows, "x", "k")
     rows = rows.withColumn("back", select.key_double(F.col("k"))).collect()
     assert all(r.k is None for r in rows if r.x is None or math.isnan(r.x)) and sum(r.k is None for r in rows) == 2
     rows = [r for r in rows if r.k is not None]
