@@ -181,12 +181,17 @@ def corr_with_target(df: DataFrame, features: Sequence[str], target: str, keys:
 
 
 def autocorr(df: DataFrame, col: str, lags: Sequence[int], keys: Sequence[str] = ("station",),
-             time_col: str = "time") -> DataFrame:
-    """``Series.autocorr(lag)`` (A5): corr(x, x shifted by ``lag`` rows) per key."""
+             time_col: str = "time", tiebreak: Sequence[str] = (), strategy: str = "auto") -> DataFrame:
+    """``Series.autocorr(lag)`` (A5): corr(x, x shifted by ``lag`` rows) per key.
+
+    The shifts are those of ``windows.lag_features``: a long key is cut into rank blocks of bounded rows (``strategy`` as there).
+    """
+    from aerolith.operators import windows
+
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(time_col)
-    lagged = df.select(*keys, F.col(col).alias("__x"), *[F.lag(col, k).over(w).alias(f"__l{k}") for k in lags])
-    wide = lagged.groupBy(*keys).agg(*[pearson("__x", f"__l{k}").alias(f"a{k}") for k in lags])
+    series = select.materialised(df.select(*keys, time_col, *tiebreak, F.col(col).cast("double").alias("__x")), "series")
+    lagged = windows.lag_features(series, ["__x"], lags, keys, time_col, tiebreak, strategy)
+    wide = lagged.groupBy(*keys).agg(*[pearson("__x", f"__x_lag_{k}h").alias(f"a{k}") for k in lags])
     return wide.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(k).alias("lag"), F.col(f"a{k}").alias("autocorr")) for k in lags])))
 

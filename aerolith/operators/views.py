@@ -67,10 +67,10 @@ def leaderboard(runs: DataFrame, metric: str = "mae", flag_cols: Sequence[str] =
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42, key_cols: Sequence[str] = ("station", "time")) -> DataFrame:
-    """Deterministic sample of ``min(n, rows)`` rows: the ``n`` smallest seeded hashes of the key.
+    """Deterministic sample of ``min(n, rows)`` rows: the ``n`` smallest MD5 digests of the seed and the key's text.
 
     A top-k (``TakeOrderedAndProject``): each task keeps its ``n`` best rows, the driver
     merges ``tasks x n`` rows; the limit is the feature (a fixed-size sample).
     """
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    return df.withColumn("__h", h).orderBy("__h", *key_cols).limit(n).drop("__h")
+    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]))
+    return df.withColumn("__h", drawn).orderBy("__h", *key_cols).limit(n).drop("__h")
