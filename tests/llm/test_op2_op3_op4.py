@@ -149,3 +149,67 @@ def test_main_text_of_a_table(spark):
     assert got == [(1, want, len(want)), (1, want, len(want)), (2, "", 0)]
     assert op4_extract.main_text(df.where("false")).columns == ["page_id", "url", "text", "n_chars"]
     assert op4_extract.main_text(df.where("false")).count() == 0
+
+
+SAY = "A paragraph with enough words in it to make the sum of a window rise above the threshold of a surge."
+
+
+def test_names_count_for_containers_only():
+    inside = ('<h2 id="search-trees">Search trees</h2><h2 id="related-work">Related work</h2><p class="legal">By law.</p><p>See <span class="form">this form</span>.</p>'
+              '<div id="search-results-of-trees"><p>Found.</p></div><ul class="menu-of-the-day"><li>Soup</ul>')
+    want = "Search trees\nRelated work\nBy law.\nSee this form.\nFound.\nSoup"
+    assert op4_extract.extract(f"<article><p>{SAY}</p>{inside}</article>") == f"{SAY}\n{want}"
+    for other in ('<div class="cookie-banner">%s</div>', '<section id="post-comments">%s</section>', '<div class="site-footer">%s</div>', '<article class="comment">%s</article>',
+                  '<div role="navigation">%s</div>', '<div class="ad_slot_2">%s</div>', '<div class="newsletterSignup">%s</div>', "<div hidden>%s</div>"):
+        page = f"<body><article><p>{SAY}</p></article>{other % f'<p>{SAY} {SAY}</p>'}</body>"
+        assert op4_extract.extract(page) == SAY, other
+
+
+def test_sibling_articles_and_headings_stay():
+    two = f"<article><h2>One</h2><p>{SAY}</p></article><div><p>Between, short.</p></div><article><h2>Two</h2><p>{SAY}</p><section><p>End.</p></section></article>"
+    assert op4_extract.extract(f"<body>{two}</body>") == f"One\n{SAY}\nTwo\n{SAY}\nEnd."
+    assert op4_extract.extract(f"<body><p>Home</p><h1>Title</h1><div><p>{SAY}</p><p>Short.</p></div><p>Line</p></body>") == f"Title\n{SAY}\nShort."
+    parts = f"<div><p>{SAY}</p></div><div><p>Short.</p></div><div><p>{SAY}</p></div><div><p>After.</p></div>"
+    assert op4_extract.extract(f"<body><div><p>Before.</p></div>{parts}</body>") == f"{SAY}\nShort.\n{SAY}"
+
+
+def test_surges_decide():
+    """Text lengths over windows choose: without them other text would be kept."""
+    teaser = "<article><p>Teaser.</p></article>"
+    assert op4_extract.extract(f"{teaser}<div><p>{SAY}</p></div>") == SAY  # the element with a name has no surge
+    assert op4_extract.extract(f"{teaser}<article><p>{SAY}</p></article>") == SAY
+    assert op4_extract.extract(teaser + "<div><p>Note.</p></div>") == "Teaser."  # nothing surges
+    short = "<p>Twenty-nine letters of prose.</p>"
+    assert op4_extract.extract(f"<div>{short}</div><div>{short * 3}</div><div>{short}</div>") == "\n".join(["Twenty-nine letters of prose."] * 3)
+
+
+def test_stretches_against_a_plain_count():
+    rng = random.Random(8)
+    for _ in range(300):
+        lines = op4_extract.Lines()
+        for _ in range(rng.randint(1, 40)):
+            text = "" if rng.random() < 0.5 else "x" * rng.randint(1, 60)
+            lines.add(text, rng.randint(0, len(text)), 0, 0, False)
+        prose = [len(t) - k for t, k in zip(lines.text, lines.link, strict=True)]
+        w = op4_extract.WINDOW
+        sums = [sum(prose[max(0, i - w + 1) : i + 1]) for i in range(len(prose))]
+        there = [any(lines.text[max(0, i - w + 1) : i + 1]) for i in range(len(prose))]
+        want, start = [], None
+        for i, t in enumerate([*there, False]):
+            if t and start is None:
+                start = i
+            if not t and start is not None:
+                want.append((start, i, sum(prose[start:i]), max(sums[start:i])))
+                start = None
+        assert [s[:4] for s in op4_extract.stretches(lines)] == want
+
+
+def test_odd_markup_takes_time_in_proportion():
+    import time
+
+    n = 20_000
+    for page, text in (("<i>" * n + SAY, SAY), ("<p><i>a" * n, "\n".join(["a"] * n)), ('<a href="' * n, ""), ("<b x='" * n + SAY, ""), (f"<p title=don't>{SAY}</p>", SAY),
+                       (f'<p title="a>b" class=\'c"d\'>{SAY}</p>', SAY), (f'<p title="open>{SAY}</p><p>{SAY}</p>', f"{SAY}\n{SAY}")):
+        start = time.time()
+        assert op4_extract.extract(page) == text, page[:20]
+        assert time.time() - start < 5
