@@ -9,8 +9,8 @@ not yet seen once the sum of the values last read is below it.  Reading goes dee
 outsider can qualify; the scores of those left are then resolved from what was read.
 
 Reading is done for all queries of a block at a time: the bounds of all (query, vector) pairs are four
-matrix products over component values clipped at the list positions, in exact integers (doubles below
-2**53).  The best k of each (query, block) go through a window over at most k rows a block.
+matrix products over component values clipped at the list positions, in exact integers: doubles where no sum can pass
+2**53, else 64-bit integers (``exact``).  The best k of each (query, block) go through a window over at most k rows a block.
 
 Queries against vectors are blocks against blocks: vectors are copied once for each block of
 ``QUERY_BLOCK`` queries, queries once for each block of ``VECTOR_BLOCK`` vectors, and each pair of blocks
@@ -20,6 +20,7 @@ Defined results: vectors that are null or hold null or non-finite components tak
 rows with a null vec_id; vectors only meet vectors of their own length; an empty vector scores 0; a
 query's own rows (equal vec_id) are no candidates; a repeated candidate row counts as often as it
 occurs; of several rows with one query's vec_id the least vector is the query; an empty table gives no rows.
+Vectors whose products may pass 63 bits have no score in a long and raise an error.
 """
 
 from __future__ import annotations
@@ -53,7 +54,8 @@ def integer_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
 def nra(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int, depths=DEPTHS):
     """(query number, vector number, score) of each query's k best rows of ``x``, ties to smaller ids, not its own id."""
     n, dims = x.shape
-    plus, minus = np.maximum(q, 0.0), np.minimum(q, 0.0)
+    plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+    never = -np.inf if x.dtype == np.float64 else np.iinfo(np.int64).min  # below any score
     order = np.sort(x, axis=0)  # the lists, by value
     low, high = order[0], order[-1]
     result = []
@@ -69,8 +71,8 @@ def nra(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int
             top, bottom = x >= down, x <= up  # seen, from either end
             upper = plus[active] @ np.where(top, x, down).T + minus[active] @ np.where(bottom, x, up).T
             lower = plus[active] @ np.where(top, x, low).T + minus[active] @ np.where(bottom, x, high).T
-        lower = np.where(own[active], -np.inf, lower)
-        upper = np.where(own[active], -np.inf, upper)
+        lower = np.where(own[active], never, lower)
+        upper = np.where(own[active], never, upper)
         kk = min(k, n)
         threshold = np.partition(lower, n - kk, axis=1)[:, n - kk]
         left = upper >= threshold[:, None]
@@ -90,6 +92,17 @@ def nra(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int
     return tuple(np.concatenate(c) for c in zip(*result, strict=True))
 
 
+def exact(x: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Integer matrices in a type in which all bounds and scores are exact."""
+    largest = lambda m: max(abs(int(m.min(initial=0))), abs(int(m.max(initial=0))))
+    bound = 2 * x.shape[1] * largest(x) * largest(q)
+    if bound < 1 << 53:
+        return x.astype(np.float64), q.astype(np.float64)
+    if bound < 1 << 63:
+        return x, q
+    raise OverflowError("inner products of these vectors may pass 63 bits")
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, vector_block: int = VECTOR_BLOCK,
           query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score of ``queries`` against ``vectors`` (both vec_id, v)."""
@@ -108,12 +121,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, vector_block: int
         if not len(own) or not len(asked):
             return pd.DataFrame({c: pd.Series([], dtype="int64") for c in columns})
         dims = len(own["v"].iloc[0])
-        as_matrix = lambda s: np.array(s.tolist(), np.float64).reshape(len(s), dims)
+        as_matrix = lambda s: np.array(s.tolist(), np.int64).reshape(len(s), dims)
         ids, q_ids = own["vec_id"].to_numpy(), asked["vec_id"].to_numpy()
         if not dims:
-            x, q = np.zeros((len(ids), 1)), np.zeros((len(q_ids), 1))
+            x, q = np.zeros((len(ids), 1), np.int64), np.zeros((len(q_ids), 1), np.int64)
         else:
             x, q = as_matrix(own["v"]), as_matrix(asked["v"])
+        x, q = exact(x, q)
         at, who, score = [], [], []
         step = max(1, (1 << 23) // max(1, len(ids)))  # queries at a time: matrices of 64 MB
         for s in range(0, len(q), step):

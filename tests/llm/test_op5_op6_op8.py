@@ -52,6 +52,21 @@ def test_nra_stops_early_and_stays_exact():
         assert who[mine].tolist() == want and score[mine].tolist() == s[want].tolist()
 
 
+@pytest.mark.parametrize("size", [3e3, 3e5, 8e5])
+def test_scores_beyond_doubles(spark, size):
+    rng = random.Random(9)
+    rows = [(i, [rng.uniform(-size, size) for _ in range(6)]) for i in range(0, 300, 3)]
+    v = op5_topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = op5_topk.top_k(v, v.where("vec_id % 100 = 0"), 10, 16, 3)
+    assert sorted(map(tuple, got.collect())) == best(rows, 10)
+
+
+def test_scores_beyond_longs():
+    x = np.full((2, 3), 1 << 31, np.int64)
+    with pytest.raises(OverflowError):
+        op5_topk.exact(x, x)
+
+
 def test_shards(spark):
     rng = random.Random(1)
     docs = [(i, "w" * rng.randint(0, 300)) for i in range(400)] + [(None, "same text")] * 300 + [(5000, "big" * 1000), (None, None), (5001, "")]
