@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import table
+from aerolith.llm.common import table, written
 
 #: (host, path, verdict); fixed by the contract.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -89,6 +89,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """page_id, url, host, path, rule, listed, verdict of every row of ``pages`` (page_id, url); ``listed``: column url."""
     keys = listed.select(canonical(F.col("url")).alias("canon")).where("canon is not null").distinct()
+    keys = written(keys, "listed-urls")
     n_blocks = blocks_for(keys.count())
     bloom = build_filter(keys, n_blocks)
     if n_blocks * BLOCK_BITS // 8 <= broadcast_bytes:
@@ -100,13 +101,15 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
         "__by_rule", by_rules(h, p, rules, lambda r: r[2]))
     key = F.col("__canon")
     possible = reduce(lambda a, b: a & b, [F.col(f"__w{i}").bitwiseAND(_bits(key, i)) == _bits(key, i) for i in range(4)])
-    passed = (rows.join(bloom, _block(key, n_blocks) == F.col("__block"), "left")
-              .withColumn("__possible", F.coalesce(possible, F.lit(False))).drop("__block", *[f"__w{i}" for i in range(4)]))
+    # Spread rows without a URL over the blocks: they are never listed.
+    block = F.coalesce(_block(key, n_blocks), F.pmod(F.xxhash64("page_id"), F.lit(n_blocks)))
+    passed = rows.join(bloom, block == F.col("__block"), "left").withColumn("__possible", F.coalesce(possible, F.lit(False)))
+    columns = [*rows.columns, "__possible"]
     exact = keys.select(F.col("canon").alias("__listed"))
-    judged = passed.join(exact, F.when(F.col("__possible"), key) == F.col("__listed"), "left")
-    is_listed = F.col("__listed").isNotNull()
-    verdict = F.coalesce("__by_rule", F.when(is_listed, "block").otherwise("allow"))
-    return judged.select("page_id", "url", "host", "path", "rule", is_listed.alias("listed"), verdict.alias("verdict"))
+    hits = passed.where("__possible").select(*columns).join(exact, key == F.col("__listed"), "left").withColumn("listed", F.col("__listed").isNotNull())
+    judged = hits.drop("__listed").unionByName(passed.where("not __possible").select(*columns).withColumn("listed", F.lit(False)))
+    verdict = F.coalesce("__by_rule", F.when(F.col("listed"), "block").otherwise("allow"))
+    return judged.select("page_id", "url", "host", "path", "rule", "listed", verdict.alias("verdict"))
 
 
 def listed_urls(pages: DataFrame, labels: list[str] = LISTED_LABELS) -> DataFrame:
