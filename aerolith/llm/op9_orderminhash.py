@@ -143,6 +143,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # one row for each identifier and key of a class first, so that the count of a row's equals comes along
     best = (rows.groupBy("root", "__id", "__key").agg(F.min(order).alias("__first"), F.count(F.lit(1)).alias("__n"))
             .groupBy(F.col("root").alias("__root")).agg(F.min(F.struct("__first", "__n")).alias("__best")))
+    best = small(written(best, "near-best"))  # a large class does not land in one task: broadcast, or a join that Spark may split
     return rows.join(best, F.col("root") == F.col("__root")).select(
         "__id", "__key", "has_text", F.col("__best.__first.id").alias("class_id"),
         (F.col("rid") == F.col("__best.__first.rid")).alias("kept"), F.col("__best.__n").alias("n_same"))
