@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from aerolith.config import POLLUTANTS
 from aerolith.functions.calendar import calendar_columns
 from aerolith.operators import evaluation as E
+from aerolith.operators.select import materialised
 from aerolith.plans import base
 from aerolith.plans import sqlaqi as SA
 from aerolith.plans import sqlparts as S
@@ -108,7 +109,8 @@ def _runs_sql(select_tail: str) -> str:
 def runs(spark, sf_dir):
     """One summary row per baseline forecaster, as appended to the run history."""
     t = split(spark, sf_dir).where(F.col("is_test"))
-    t = t.withColumns({f"pred_{m}_{p}": F.col(f"{p}_{suffix}") for m, suffix in BASELINES.items() for p in POLLUTANTS})
+    preds = [F.col(f"{p}_{suffix}").alias(f"pred_{m}_{p}") for m, suffix in BASELINES.items() for p in POLLUTANTS]
+    t = materialised(t.select(*POLLUTANTS, *preds), "scored")  # the summaries read it twice
     out = E.summaries(t, {m: f"pred_{m}_" for m in BASELINES})
     return out.select(F.lit(fx.as_of(spark, sf_dir)).cast("timestamp_ntz").alias("timestamp"), "model_name",
                       F.lit("MULTI_OUTPUT").alias("target"), "mae", "rmse", "r2", "aqi_mae",
