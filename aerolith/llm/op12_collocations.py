@@ -27,10 +27,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import discard, scratch, table, written
+from aerolith.llm.common import discard, running_sum, scratch, table, written
 from aerolith.llm.textvec import U, mix
 from aerolith.llm.textvec import pieces as text_pieces
 
@@ -73,7 +74,7 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, pa.LargeStringArray, np.nd
     coded = words.dictionary_encode()
     follows = np.zeros(len(start), bool)
     follows[1:] = breaks[1:] == breaks[:-1]
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary, follows
+    return coded.indices.to_numpy(), coded.dictionary, follows
 
 
 def codes_of(words: pa.LargeStringArray, lang: str, seed: int) -> np.ndarray:
@@ -92,7 +93,12 @@ def slot_of(codes: list[np.ndarray], slots: int) -> np.ndarray:
     return (x % U(slots)).astype(np.int64)
 
 
-_SCHEMA = "len int, c1 long, c2 long, c3 long, lang string, word string, n long, ready int"
+_KEYS = ["c1", "c2", "c3", "word"]
+_SCHEMA = "c1 long, c2 long, c3 long, word string, n long, ready int"
+#: Between language and word in the column ``word``: no language has it, no word of a text could be taken for one.
+_SEP = "\t"
+#: Rows that a task hands over at a time.
+HAND_OVER = 1 << 16
 
 
 def counter(scan: int, seed: int, known, shards: int, slots: int):
@@ -119,40 +125,40 @@ def counter(scan: int, seed: int, known, shards: int, slots: int):
             return
         code = codes_of(words, lang, seed)
         if scan < shards:  # each word sees each shard once
-            yield rows(1, [code], np.bincount(at, minlength=len(words)), lang, words)
+            yield from rows([code], np.bincount(at, minlength=len(words)), shards - 1, lang, words)
         if not scan:
             return
         # Pairs of active words follow each other in ``place``; each different one has a number.
         width = len(words)
         since = of_words[slot_of([code], slots)].astype(np.int32)
         place = np.flatnonzero(follows[1:] & (since[at[:-1]] > 0) & (since[at[1:]] > 0))
-        keys, which = np.unique(at[place] * width + at[place + 1], return_inverse=True)
+        keys, which = np.unique(at[place].astype(np.int64) * width + at[place + 1], return_inverse=True)
         one, two = keys // width, keys % width
         latest = np.maximum(since[one], since[two])
         now = latest > scan - shards
         if now.any():
-            yield rows(2, [code[one[now]], code[two[now]]], np.bincount(which, minlength=len(keys))[now], ready=latest[now] + shards - 1)
+            yield from rows([code[one[now]], code[two[now]]], np.bincount(which, minlength=len(keys))[now], latest[now] + shards - 1)
         # Triples of active pairs, by the number of the first pair and the last word.
         since = of_pairs[slot_of([code[one], code[two]], slots)].astype(np.int32)
-        number = np.full(len(at), -1, np.int64)
+        number = np.full(len(at), -1, np.int32)
         number[place] = which
         first = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0))
         left, right = since[number[first]], since[number[first + 1]]
         first = first[(left > 0) & (right > 0) & (np.maximum(left, right) > scan - shards)]
-        triples, example, n = np.unique(number[first] * width + at[first + 2], return_index=True, return_counts=True)
+        triples, example, n = np.unique(number[first].astype(np.int64) * width + at[first + 2], return_index=True, return_counts=True)
         if len(triples):
             first = first[example]
             latest = np.maximum(since[number[first]], since[number[first + 1]])
-            yield rows(3, [code[at[first + i]] for i in range(3)], n, ready=latest + shards - 1)
+            yield from rows([code[at[first + i]] for i in range(3)], n, latest + shards - 1)
 
-    def rows(length, codes, n, lang=None, words=None, ready=None):
-        size = len(n)
-        none = lambda t: pa.nulls(size, t)
-        cols = [pa.array(np.full(size, length, np.int32)), *[pa.array(codes[i]) if i < length else none(pa.int64()) for i in range(3)],
-                none(pa.string()) if lang is None else pa.array([lang]).take(pa.array(np.zeros(size, np.int32))),
-                none(pa.string()) if words is None else words.cast(pa.string()),
-                pa.array(np.asarray(n, np.int64)), none(pa.int32()) if ready is None else pa.array(ready)]
-        return pa.RecordBatch.from_arrays(cols, names=["len", "c1", "c2", "c3", "lang", "word", "n", "ready"])
+    def rows(codes, n, ready, lang=None, words=None):
+        for i in range(0, len(n), HAND_OVER):
+            part = slice(i, i + HAND_OVER)
+            size = len(n[part])
+            cols = [pa.array(codes[k][part]) if k < len(codes) else pa.nulls(size, pa.int64()) for k in range(LONGEST)]
+            cols += [pa.nulls(size, pa.string()) if words is None else pc.binary_join_element_wise(lang, words.slice(i, HAND_OVER).cast(pa.string()), _SEP)]
+            cols += [pa.array(n[part], pa.int64()), pa.array(ready[part] if isinstance(ready, np.ndarray) else np.full(size, ready), pa.int32())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*_KEYS, "n", "ready"])
 
     return count
 
@@ -178,45 +184,6 @@ def slot_table(phrases: DataFrame, codes: list[str], slots: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
-class Tally:
-    """The phrases of one length that are open, and those that are complete and frequent: codes, n0, n1, ... (their counts by shard), ready, since.
-
-    ``since`` is the scan from which a phrase counts as reaching the threshold; it lets longer phrases be counted.
-    """
-
-    def __init__(self, codes: list[str], threshold: int, shards: int):
-        self.codes, self.threshold = codes, threshold
-        self.counts = [f"n{i}" for i in range(shards)]
-        self.open = self.done = None
-
-    def total(self) -> Column:
-        return sum((F.coalesce(c, F.lit(0)) for c in self.counts), F.lit(0).cast("long"))
-
-    def add(self, counted: DataFrame, scan: int, name: str) -> None:
-        """``counted``: the rows of this length that a scan wrote.  A shard that was scanned before has the same count: the larger one holds."""
-        none = F.lit(None).cast("long")
-        rows = counted.select(*self.codes, *[none.alias(c) for c in self.counts], "ready", F.lit(None).cast("int").alias("since"), F.col("n").alias("now"))
-        if self.open is not None:
-            rows = rows.unionByName(self.open.withColumn("now", none))
-        here = self.counts[scan % len(self.counts)]
-        merged = rows.groupBy(*self.codes).agg(
-            *[(F.greatest(F.max(c), F.sum("now")) if c == here else F.max(c)).alias(c) for c in self.counts], F.min("ready").alias("ready"), F.min("since").alias("since"))
-        frequent = self.total() >= self.threshold
-        merged = merged.withColumn("since", F.coalesce("since", F.when(frequent, F.lit(scan + 1))))
-        merged = written(merged.where(frequent | (F.col("ready") > scan)), name)  # complete phrases below the threshold go
-        self.open = merged.where(F.col("ready") > scan)
-        closed = merged.where(F.col("ready") <= scan)
-        self.done = closed if self.done is None else self.done.unionByName(closed)
-
-    def active(self) -> DataFrame:
-        return self.open.unionByName(self.done).where("since is not null")
-
-    def frequent(self) -> DataFrame:
-        """Codes and n of the frequent phrases; one that was opened again has its counts in both tables."""
-        every = self.active().groupBy(*self.codes).agg(*[F.max(c).alias(c) for c in self.counts])
-        return every.select(*self.codes, self.total().alias("n")).where(F.col("n") >= self.threshold)
-
-
 def mine(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All words of ``docs`` (lang, text): code, lang, word, n; and the phrases of two and of three words that occur ``threshold`` times or more: c1, c2, n and c1, c2, c3, n."""
     spark = docs.sparkSession
@@ -236,39 +203,68 @@ def mine(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS, slot
     return out
 
 
+#: No scan has this number.
+_NEVER = 255
+
+
+def mark(ready: Column, since: Column) -> Column:
+    """Both in one number, so that the least one has the first ``ready`` and its ``since``."""
+    return ready.cast("long") * (_NEVER + 1) + since
+
+
 def scans(texts: DataFrame, threshold: int, shards: int, slots: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The cycle.  A state table holds the phrases of all lengths: their codes, language and word (of words), n0, n1, ... (counts by shard),
+    ready, and since, the scan from which they count as reaching the threshold, which lets longer phrases be counted.  Phrases whose
+    ``ready`` scan is over are put aside; the open ones go on to the next state."""
     spark = texts.sparkSession
-    raw_path = scratch(spark, "phrase-counts")
-    words = None
-    pairs, triples = Tally(["c1", "c2"], threshold, shards), Tally(["c1", "c2", "c3"], threshold, shards)
+    counts = [f"n{i}" for i in range(shards)]
+    none = F.lit(None).cast("long")
+    total = sum((F.coalesce(c, F.lit(0)) for c in counts), F.lit(0).cast("long"))
+    a_word, a_pair, a_triple = F.col("c2").isNull(), F.col("c2").isNotNull() & F.col("c3").isNull(), F.col("c3").isNotNull()
+    state = open_ = done = None
     tables = [np.zeros(slots, np.uint8)] * 2
     for scan in range(LONGEST * shards):
         known = spark.sparkContext.broadcast(tables)
-        here = texts.where(F.col("shard") == scan % shards).select("lang", "text")
-        here.mapInArrow(counter(scan, seed, known, shards, slots), _SCHEMA).write.partitionBy("len").parquet(f"{raw_path}/{scan}")
-        counted = spark.read.schema(_SCHEMA).parquet(f"{raw_path}/{scan}")
-        of_words, of_pairs = tables
-        if scan < shards:
-            rows = counted.where("len = 1").select(F.col("c1").alias("code"), "lang", "word", "n", F.lit(None).cast("int").alias("since"))
-            rows = rows if words is None else rows.unionByName(words)
-            rows = rows.groupBy("code", "lang", "word").agg(F.sum("n").alias("n"), F.min("since").alias("since"))
-            last, words = words, written(rows.withColumn("since", F.coalesce("since", F.when(F.col("n") >= threshold, F.lit(scan + 1)))), "phrase-words")
-            if last is not None:
-                discard(last)
-            of_words = slot_table(words.where("since is not null").select("code", "since"), ["code"], slots)
+        here = texts.where(F.col("shard") == scan % shards).select("lang", "text").mapInArrow(counter(scan, seed, known, shards, slots), _SCHEMA)
+        rows = here.select(*_KEYS, *[none.alias(c) for c in counts], mark(F.col("ready"), F.lit(_NEVER)).alias("mark"), F.col("n").alias("now"))
+        if open_ is not None:
+            rows = rows.unionByName(open_.select(*_KEYS, *counts, mark(F.col("ready"), F.coalesce("since", F.lit(_NEVER))).alias("mark"), none.alias("now")))
+        # Tasks have counted their rows, so these are dealt by phrase before they are added up.
+        # A shard that was scanned before has the same count as then: the larger one holds.
+        now = counts[scan % shards]
+        merged = rows.repartition("c1", "c2", "c3").groupBy(*_KEYS).agg(
+            *[(F.greatest(F.max(c), F.sum("now")) if c == now else F.max(c)).alias(c) for c in counts], F.min("mark").alias("mark"))
+        frequent = total >= threshold
+        since = F.col("mark") % (_NEVER + 1)
+        merged = merged.select(*_KEYS, *counts, F.floor(F.col("mark") / (_NEVER + 1)).cast("int").alias("ready"),
+                               F.when(since < _NEVER, since.cast("int")).when(frequent, F.lit(scan + 1)).alias("since"))
+        last, state = state, written(merged.where(frequent | (F.col("ready") > scan) | a_word), "phrase-state")  # complete phrases below the threshold go
+        open_ = state.where(F.col("ready") > scan)
+        closed = written(state.where(F.col("ready") <= scan), "phrase-closed")
+        if last is not None:
+            discard(last)
+        done = closed if done is None else done.unionByName(closed)
+        every = done.unionByName(open_)
+        known.unpersist()
         if scan == shards - 1:
-            n, different = words.agg(F.count(F.lit(1)), F.count_distinct("code")).first()
+            n, different = every.where(a_word).agg(F.count(F.lit(1)), F.count_distinct("c1")).first()
             if n != different:
                 raise SameCode
+        of_words, of_pairs = tables
+        if scan < shards:
+            of_words = slot_table(every.where(a_word & F.col("since").isNotNull()).select("c1", "since"), ["c1"], slots)
         if 0 < scan < 2 * shards:
-            pairs.add(counted.where("len = 2"), scan, "phrase-pairs")
-            of_pairs = slot_table(pairs.active(), pairs.codes, slots)
-        if scan > 1:
-            triples.add(counted.where("len = 3"), scan, "phrase-triples")
+            of_pairs = slot_table(every.where(a_pair & F.col("since").isNotNull()).select("c1", "c2", "since"), ["c1", "c2"], slots)
         tables = [of_words, of_pairs]
-        known.unpersist()
-        discard(counted)
-    return words.drop("since"), pairs.frequent(), triples.frequent()
+
+    def found(which: Column, codes: list[str]) -> DataFrame:
+        """Codes and n; a phrase that was opened again by another's slot is in two tables, with counts of the same shards."""
+        once = every.where(which & F.col("since").isNotNull()).groupBy(*codes).agg(*[F.max(c).alias(c) for c in counts])
+        return once.select(*codes, total.alias("n")).where(F.col("n") >= threshold)
+
+    parts = F.split("word", _SEP, 2)
+    words = every.where(a_word).select(F.col("c1").alias("code"), parts[0].alias("lang"), parts[1].alias("word"), total.alias("n"))
+    return words, found(a_pair, ["c1", "c2"]), found(a_triple, ["c1", "c2", "c3"])
 
 
 def score(a: Column, left: Column, right: Column) -> Column:
@@ -302,8 +298,9 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, share: int = SHARE
     three = three.withColumn("cut", F.least(cut(1, "f1", "f23"), cut(2, "f12", "f3")))
     three = three.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), F.col("n").alias("a"), "cut.l", "cut.r", "cut.score")
 
-    best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = two.unionByName(three).withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= top)
+    # Ranks from range-partitioned counts: the candidates of a large language are not sorted in one task.
+    every = two.unionByName(three).withColumns({"down": -F.col("score"), "less": -F.col("a"), "one": F.lit(1).cast("long")})
+    ranked = running_sum(written(every, "phrase-candidates"), ["lang"], ["down", "less", "phrase"], "one", "rank", "phrase-rank").where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
