@@ -14,7 +14,8 @@ at no length.  Insertions and deletions move the rest of a copy to another diago
 
 Words are lower-cased runs of ASCII letters, digits, underscores and characters that are not ASCII.  Items
 go out to the tasks in chunks of at most ``CHUNK_WORDS`` words, counted beforehand; each chunk is one pass over
-the texts.  That bounds a broadcast but not their sum: all chunks are held until the result is written.  Nothing of the training texts is shuffled.
+the texts.  The driver and the tasks hold one chunk at a time: the hits of a chunk are written before the next one is read.
+Nothing of the training texts is shuffled.
 
 Defined results: null, empty and wordless texts and items hit nothing; items with equal words are one item, shown by
 the smallest item_id and the number of its copies; items under ``WHOLE_UNDER`` words must occur as a
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import running_sum, table
+from aerolith.llm.common import running_sum, small, table, written
 from aerolith.llm.textvec import U, Words, mix, pieces
 
 #: Fixed masks: 1 counts, 0 is ignored.  Found by a greedy search for a set that every leak hits, of the largest weight
@@ -47,6 +48,8 @@ MIN_WORDS = 5
 WHOLE_UNDER = 10
 CHUNK_WORDS = 1 << 18
 FILTER_BITS = 22
+#: Word pairs that are compared, or hits that are listed, at a time.
+PAIRS = 1 << 20
 
 
 def seeds(h: np.ndarray, mask: str) -> np.ndarray:
@@ -132,31 +135,71 @@ def enough(matching: int, n_item: int) -> bool:
     return matching >= min(LEAK_WORDS, int(np.ceil(LEAST_SHARE * n_item)))
 
 
+def diagonals(words: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, item, shift) of every diagonal with a seed hit, each once, as columns."""
+    found = [np.zeros((3, 0), np.int64)]
+    for mask, (keys, item_of, place_of, passes) in items.places.items():
+        s = seeds(words.hash, mask)
+        at = np.flatnonzero(passes[s >> U(64 - FILTER_BITS)])
+        at = at[words.doc[at] == words.doc[at + len(mask) - 1]]
+        left, right = np.searchsorted(keys, s[at], "left"), np.searchsorted(keys, s[at], "right")
+        for some in np.array_split(np.flatnonzero(right > left), max(1, int((right - left).sum()) // PAIRS)):
+            n = right[some] - left[some]
+            hit = np.repeat(left[some] - np.cumsum(n) + n, n) + np.arange(n.sum())  # the places of all equal seeds
+            p = np.repeat(at[some], n)
+            doc = words.doc[p]
+            found.append(each_once(np.stack([doc, item_of[hit], p - words.first[doc] - place_of[hit]])))
+    return tuple(each_once(np.concatenate(found, axis=1)))
+
+
+def each_once(rows: np.ndarray) -> np.ndarray:
+    """The different columns of ``rows`` (three numbers each), in order: as one number each where that fits."""
+    if not rows.shape[1]:
+        return rows
+    low = rows.min(axis=1)
+    span = [int(x) for x in rows.max(axis=1) - low + 1]
+    if span[0] * span[1] * span[2] >= 1 << 62:
+        return np.unique(rows, axis=1)
+    r = rows - low[:, None]
+    one = np.unique((r[0] * span[1] + r[1]) * span[2] + r[2])
+    return np.stack([one // (span[1] * span[2]), one // span[2] % span[1], one % span[2]]) + low[:, None]
+
+
+def may_leak(words: Words, items: Items, doc: np.ndarray, item: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Which diagonals have as many matching words in all as a leak needs; an overlap is never more."""
+    size = np.diff(items.first)[item]
+    low = np.maximum(0, -shift)
+    n = np.minimum(size, words.first[doc + 1] - words.first[doc] - shift) - low
+    total = np.zeros(len(doc), np.int64)
+    for some in np.array_split(np.arange(len(doc)), max(1, int(n.sum()) // PAIRS)):
+        if len(some):
+            within = np.arange(n[some].sum()) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+            own = np.repeat(items.first[item[some]] + low[some], n[some]) + within
+            there = np.repeat(words.first[doc[some]] + low[some] + shift[some], n[some]) + within
+            same = np.concatenate([[0], np.cumsum(items.words[own] == words.hash[there])])
+            ends = np.cumsum(n[some])
+            total[some] = same[ends] - same[ends - n[some]]
+    needed = np.minimum(LEAK_WORDS, np.ceil(LEAST_SHARE * size))
+    return total >= np.where(size < WHOLE_UNDER, size, needed)
+
+
 def leaks(texts, items: Items) -> list[tuple]:
-    """(text number, item number, first word in the text, words, matching words): the best leak of each pair."""
+    """(text number, item number, first word in the text, words, matching words): the best leak of each pair.
+
+    All diagonals of a piece of the texts are found and counted by vector operations, so a passage that many items share costs
+    no loop; only those that can be leaks are looked at one by one.
+    """
     out = []
     for start, end in pieces(texts):
         words = Words(texts[start:end])
         best: dict[tuple, tuple] = {}
-        tried = set()
-        for mask, (keys, item_of, place_of, passes) in items.places.items():
-            s = seeds(words.hash, mask)
-            at = np.flatnonzero(passes[s >> U(64 - FILTER_BITS)])
-            at = at[words.doc[at] == words.doc[at + len(mask) - 1]]
-            left, right = np.searchsorted(keys, s[at], "left"), np.searchsorted(keys, s[at], "right")
-            for p, a, b in zip(at[right > left], left[right > left], right[right > left], strict=True):
-                doc = int(words.doc[p])
-                base = int(words.first[doc])
-                for k in range(a, b):
-                    item, q = int(item_of[k]), int(place_of[k])
-                    shift = int(p) - base - q
-                    if (doc, item, shift) in tried:
-                        continue
-                    tried.add((doc, item, shift))  # all stretches of the diagonal are looked at, whatever hit leads to it
-                    own = items.words[items.first[item]: items.first[item + 1]]
-                    first, n, matching = overlap(words.hash[base: words.first[doc + 1]], own, shift)
-                    if enough(matching, len(own)) and matching > best.get((doc, item), (0, 0, 0))[2]:
-                        best[doc, item] = (first + shift, n, matching)
+        doc, item, shift = diagonals(words, items)
+        able = may_leak(words, items, doc, item, shift)
+        for d, i, s in zip(doc[able].tolist(), item[able].tolist(), shift[able].tolist(), strict=True):
+            own = items.words[items.first[i]: items.first[i + 1]]
+            first, n, matching = overlap(words.hash[words.first[d]: words.first[d + 1]], own, s)
+            if enough(matching, len(own)) and matching > best.get((d, i), (0, 0, 0))[2]:
+                best[d, i] = (first + s, n, matching)
         out += [(start + d, i, *v) for (d, i), v in sorted(best.items())]
     return out
 
@@ -179,11 +222,14 @@ HITS = "item_id long, n_copies int, start_word long, n_words int, n_matching int
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """doc_id, item_id, n_copies, start_word, n_words, n_matching: one row for each text row and item that leaks into it."""
+    """doc_id, item_id, n_copies, start_word, n_words, n_matching: one row for each text row and item that leaks into it.
+
+    With more than one chunk the hits of each are written before the next one is read.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text")
     found = None
-    for chunk in chunks(benchmark, chunk_words):
+    for chunk, last in with_last(chunks(benchmark, chunk_words)):
         held = spark.sparkContext.broadcast(chunk)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
@@ -199,25 +245,59 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", ch
                     ["doc_id", "item_id", "n_copies", "start_word", "n_words", "n_matching"])
 
         part = rows.mapInArrow(run, f"doc_id long, {HITS}")
+        if not last or found is not None:
+            part = written(part, "leaks")
+            held.unpersist()
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """The rows of ``docs`` into which no item leaks, with all their columns."""
+    """The rows of ``docs`` into which no item leaks, with all their columns.
+
+    One chunk is one pass.  With more of them the rows are numbered and written, each chunk's leaking rows are written, and these go in the end.
+    """
     spark = docs.sparkSession
-    for chunk in chunks(benchmark, chunk_words):
+    rid = "__leak_rid"
+    while rid in docs.columns:
+        rid += "_"
+    stored = gone = None
+    for chunk, last in with_last(chunks(benchmark, chunk_words)):
         held = spark.sparkContext.broadcast(chunk)
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            items = held.value
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                keep[[h[0] for h in leaks(batch.column(text_col), items)]] = False
-                yield batch.filter(pa.array(keep))
+        def hit(batch: pa.RecordBatch, held=held) -> np.ndarray:
+            leaking = np.zeros(batch.num_rows, bool)
+            leaking[[h[0] for h in leaks(batch.column(text_col), held.value)]] = True
+            return leaking
+
+        if last and stored is None:
+            def keep(batches: Iterator[pa.RecordBatch], hit=hit) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    yield batch.filter(pa.array(~hit(batch)))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+            return docs.mapInArrow(keep, docs.schema)
+
+        def drop(batches: Iterator[pa.RecordBatch], hit=hit) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(rid).filter(pa.array(hit(batch)))], ["__gone"])
+
+        if stored is None:
+            stored = written(docs.withColumn(rid, F.monotonically_increasing_id()), "leak-docs")
+        part = written(stored.select(rid, text_col).mapInArrow(drop, "__gone long"), "leaking")
+        held.unpersist()
+        gone = part if gone is None else gone.unionByName(part)
+    gone = written(gone.distinct(), "leaking-rows")
+    return stored.join(small(gone), F.col(rid) == F.col("__gone"), "left_anti").select(*docs.columns)
+
+
+def with_last(parts: Iterator) -> Iterator[tuple]:
+    """Each part, and whether it is the last."""
+    parts = iter(parts)
+    here = next(parts)
+    for after in parts:
+        yield here, False
+        here = after
+    yield here, True
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

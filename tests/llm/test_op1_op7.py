@@ -93,6 +93,8 @@ def test_leaks_with_substitutions(spark, contaminated):
     assert all(r.n_matching >= 0.8 * r.n_words for r in got)
     small = op7_decontaminate.find_leaks(d, b, chunk_words=200).collect()  # many passes, the same result
     assert sorted(map(tuple, small)) == sorted(map(tuple, got))
+    kept = op7_decontaminate.without_leaks(d, b, chunk_words=200)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, op7_decontaminate.without_leaks(d, b).collect()))
     kept = op7_decontaminate.without_leaks(d, b)
     assert kept.columns == d.columns
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - {i for i, _ in leaks}
@@ -191,3 +193,23 @@ def test_random_substitutions_against_brute_force():
             want.add((i, i, matching))
     got = op7_decontaminate.leaks([" ".join(t) for t in texts], op7_decontaminate.index_items([(i, " ".join(x)) for i, x in enumerate(items)]))
     assert {(d, i, m) for d, i, _, _, m in got} == want and len(want) > 500
+
+
+def test_a_template_that_many_items_share_costs_no_loop():
+    import time
+
+    rng = random.Random(12)
+    template = "answer the following question about the text below"
+    own = [" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(30)) for _ in range(3000)]
+    items = op7_decontaminate.index_items([(i, f"{template} {w}") for i, w in enumerate(own)])
+    text = " ".join(f"{template} z{i} z{i + 1}" for i in range(60)) + " " + own[77]
+    start = time.time()
+    got = op7_decontaminate.leaks([text], items)
+    assert [(d, i, m) for d, i, _, _, m in got] == [(0, 77, 30)] and time.time() - start < 5
+
+
+def test_each_diagonal_once():
+    rng = np.random.default_rng(3)
+    for top in (5, 1 << 40):
+        rows = np.stack([rng.integers(0, 4, 500), rng.integers(0, 4, 500), rng.integers(-3, 3, 500) * (top // 5)])
+        assert (op7_decontaminate.each_once(rows) == np.unique(rows, axis=1)).all()
