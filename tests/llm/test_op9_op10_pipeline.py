@@ -300,3 +300,47 @@ def test_pipeline(spark):
     for r in after:
         total[r.shard] += r.n_bytes
     assert max(total.values()) <= op6_shard.LIMIT_BYTES
+
+
+def test_pipeline_stages_with_odd_rows(spark, tmp_dir):
+    """Nulls in any column, empty and very long texts, ties, repeated rows and clashing names through every stage; what each stage keeps is told apart by text."""
+    sys.path.insert(0, str(Path(__file__).parents[2]))
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(4000)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    item = say(40)
+    plain = [say(60) for _ in range(60)]
+    long = " ".join([plain[5]] * 1000)
+    near = plain[0].split()
+    near[30] = "changed"
+    rows = [(i, t, "en", "a" if i % 3 else None, len(t)) for i, t in enumerate(plain)]
+    rows += [(100, " ".join(near), "en", "a", 1), (101, plain[1], None, "b", None), (1, plain[1], "en", "a", len(plain[1]))]  # near, exact, a repeated row
+    rows += [(102, None, None, None, None), (102, None, None, None, None), (None, None, "en", "a", 0), (103, "", "en", "b", 0), (104, "  \n", "en", "b", 3)]
+    rows += [(None, say(50), "en", None, 5), (105, long, "en", "b", len(long)), (106, f"{say(30)} {item} {say(30)}", "en", "a", 9), (None, f"{item}", None, None, None)]
+    insults = ["rotten scum " + say(25).replace("w", "insult") for _ in range(30)]
+    rows += [(200 + i, t, "en", "a", 1) for i, t in enumerate(insults)]
+    extra = [(*r, k, "x") for k, r in enumerate(rows)]
+    docs = spark.createDataFrame(extra, "doc_id long, text string, lang string, source string, n_chars int, score int, shard string").repartition(5)
+    spark.createDataFrame([(i, 1, 0) for i in range(60)] + [(200 + i, 1, 1) for i in range(30)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    spark.createDataFrame([(7, item), (None, None), (8, "")], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    kept = {}
+    for name, stage in pipeline.STAGES:
+        docs = pipeline.written(stage(spark, docs, tmp_dir), "odd-stage")
+        kept[name] = docs.collect()
+        assert name == "sharding" or docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "score", "shard"]
+    texts = lambda name: Counter(r.text for r in kept[name])
+    clean = Counter(r[1] for r in rows if r[1] not in insults)
+    gone = Counter(r[1] for r in rows) - texts("toxicity")
+    assert set(gone) <= set(insults) and len(gone) >= 20 and texts("toxicity") - clean == Counter(set(insults) - set(gone))  # rows without a text stay, too
+    clean = texts("toxicity")
+    copies = {" ".join(near): plain[0]}
+    after = texts("near_dedup")
+    assert {copies.get(t, t) for t in after} == {copies.get(t, t) for t in clean}
+    assert all(n == 1 for t, n in after.items() if t and t.strip()) and after[None] == 3 and sum(after[t] for t in copies | {plain[0]: 1}) == 1
+    without = texts("decontamination")
+    assert set(after) - set(without) == {t for t in after if t and item in t} and all(without[t] == after[t] for t in without)
+    mixed = texts("mixing")
+    assert set(mixed) <= set(without) and max(mixed.values()) <= 3 and not any(t is None or not t.strip() for t in mixed)
+    assert len(kept["sharding"]) == len(kept["mixing"]) and all(r.n_bytes <= r.shard_bytes for r in kept["sharding"])
