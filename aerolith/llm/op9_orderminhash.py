@@ -142,11 +142,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     order = F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__key").alias("key"), F.col("rid").alias("rid"))
     # one row for each identifier and key of a class first, so that the count of a row's equals comes along
     best = (rows.groupBy("root", "__id", "__key").agg(F.min(order).alias("__first"), F.count(F.lit(1)).alias("__n"))
-            .groupBy(F.col("root").alias("__root")).agg(F.min(F.struct("__first", "__n")).alias("__best")))
-    best = small(written(best, "near-best"))  # a large class does not land in one task: broadcast, or a join that Spark may split
-    return rows.join(best, F.col("root") == F.col("__root")).select(
-        "__id", "__key", "has_text", F.col("__best.__first.id").alias("class_id"),
-        (F.col("rid") == F.col("__best.__first.rid")).alias("kept"), F.col("__best.__n").alias("n_same"))
+            .groupBy(F.col("root").alias("__root")).agg(F.min(F.struct("__first", "__n")).alias("__best"), F.sum("__n").alias("__rows")))
+    # Only classes of two rows or more are joined; a large one does not land in one task: broadcast, or a join that Spark may split.
+    best = small(written(best.where("__rows > 1").drop("__rows"), "near-best"))
+    alone = F.col("__root").isNull()
+    return rows.join(best, F.col("root") == F.col("__root"), "left").select(
+        "__id", "__key", "has_text", F.when(alone, F.col("__id")).otherwise(F.col("__best.__first.id")).alias("class_id"),
+        (alone | (F.col("rid") == F.col("__best.__first.rid"))).alias("kept"), F.when(alone, F.lit(1).cast("long")).otherwise(F.col("__best.__n")).alias("n_same"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
