@@ -5,7 +5,7 @@ is an append-only table with a row for each model of each run (its metrics, the
 ``latest`` a JSON record of the last run's best model.  The best model of all runs by any metric and direction is found in
 the table and loaded from its folder; nothing but the folder is needed to score with it.
 
-The split frame is written to the shared folder once; all candidates train on its first part and are scored on the rest in one pass.
+The columns used are written to the shared folder once; the split, the fits and the scoring read that, and all candidates are scored in one pass.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.config import POLLUTANTS, TEST_RATIO, model_features, scratch_path
+from aerolith.config import POLLUTANTS, TEST_RATIO, model_features
 from aerolith.ml.models import MultiOutputModel, MultiOutputRegressor
 from aerolith.operators import evaluation as E
+from aerolith.operators.select import dropped, materialised
 from aerolith.sources import store
 
 #: The candidates of the reference: name -> kind (its settings are the kinds' defaults).
@@ -43,10 +44,8 @@ def train(table: DataFrame, root: str, candidates: dict[str, dict] | None = None
     features, targets = list(features or model_features()), list(targets)
     as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     run = uuid.uuid4().hex[:12]
-    path = scratch_path(spark, "split")
-    used = list(dict.fromkeys([*keys, time_col, *tiebreak, *features, *targets]))
-    E.chrono_split(table.select(*used), keys, time_col, test_ratio, tiebreak=tiebreak).write.parquet(path)
-    split = spark.read.parquet(path)
+    rows_used = materialised(table.select(*dict.fromkeys([*keys, time_col, *tiebreak, *features, *targets])), "training-table")
+    split = E.chrono_split(rows_used, keys, time_col, test_ratio, tiebreak=tiebreak)
 
     fitted: dict[str, MultiOutputModel] = {}
     scored = split.where("is_test")
@@ -67,7 +66,7 @@ def train(table: DataFrame, root: str, candidates: dict[str, dict] | None = None
     schema = ("timestamp timestamp_ntz, run string, model_name string, kind string, target string, mae double, rmse double, r2 double, aqi_mae double, "
               "experiment_note string, path string, train_samples long, features array<string>, targets array<string>")
     store.append_history(spark, spark.createDataFrame(rows, schema), _root(root, "runs"))
-    store.delete(spark, path)
+    dropped(rows_used)
     written = runs(spark, root).where(F.col("run") == run)
     store.write_run_metadata(store.best_by(written, metric, direction), _root(root, "latest"))
     return written
