@@ -1,8 +1,11 @@
 """Multi-output regression with MLlib (M2-M6): an estimator, its model, and their files.
 
 The reference fits one multi-output model; MLlib estimators take one label, so ``MultiOutputRegressor`` fits one
-``VectorAssembler`` + regressor pipeline per target on one materialised frame: the rows without a missing feature or target
-are written to the shared folder once, and the five fits, submitted from a small driver thread pool, read that.
+``VectorAssembler`` + regressor pipeline per target, submitted from a small driver thread pool.  Trees read one materialised frame:
+the rows without a missing feature or target are written to the shared folder once.  Least squares and ridge depend on the rows only
+by their means and covariances, so one pass over the rows serves all targets: each task reduces its rows to the triangular factor of a QR
+decomposition, the factors are merged pairwise, and the linear regressors are fitted on a few rows with the same means and
+covariances (``moment_rows``; the training summary of such a regressor describes those).
 Predictions are added as ``pred_<target>`` columns on the scored rows (no positional glue, J5).
 
 A saved model holds its own description: kind, settings, features in their order, targets and the metrics of its evaluation
@@ -15,6 +18,7 @@ defaults here; tests use small settings.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -25,6 +29,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 from aerolith.config import POLLUTANTS, model_features, scratch_path
 from aerolith.functions.aqi import pm25_forecast_index
@@ -51,6 +56,49 @@ def estimator(kind: str, label: str, pred: str, **params):
     raise ValueError(f"unknown model kind {kind!r}")
 
 
+def moment_rows(rows: DataFrame, columns: Sequence[str]) -> tuple[int, list[list[float]]]:
+    """How many ``rows`` there are, and few rows with the same means and covariances (divided by n) of ``columns``, numbers that are all there.
+
+    Rows that are not more than the columns and one stay as they are.  Else the rows, with a first column of ones, have the factor R: its first line
+    gives the means, the others the k lines of a matrix D with D'D the sum of squares and products about the means, and the 2 k
+    rows mean + sqrt(k/n) D and mean - sqrt(k/n) D have the same moments.  A column of one value keeps exactly that value.
+    A task sends one matrix, whatever its rows, and the matrices are merged in a tree.
+    """
+    import numpy as np
+
+    width = len(columns) + 1
+
+    def reduced(m):
+        """Rows with the same sums of squares and products; at most as many as columns."""
+        return np.linalg.qr(m, mode="r") if len(m) > width else m
+
+    def merged(a, b):
+        """Of two parts of the rows: their number, and a matrix of the columns' least values, greatest values, and reduced rows."""
+        (n, x), (m, y) = a, b
+        return n + m, np.vstack([np.minimum(x[:1], y[:1]), np.maximum(x[1:2], y[1:2]), reduced(np.vstack([x[2:], y[2:]]))])
+
+    none = 0, np.vstack([np.full((1, width), np.inf), np.full((1, width), -np.inf), np.empty((0, width))])
+
+    def parts(batches):
+        import pyarrow as pa
+
+        part = none
+        for b in batches:
+            if b.num_rows:
+                x = np.column_stack([np.ones(b.num_rows), *[c.to_numpy(zero_copy_only=False) for c in b.columns]])
+                part = merged(part, (len(x), np.vstack([x.min(axis=0), x.max(axis=0), x])))
+        yield pa.RecordBatch.from_pydict({"n": [part[0]], "m": [part[1].tobytes()]})
+
+    each = rows.select(*[F.col(f"`{c}`").cast("double") for c in columns]).mapInArrow(parts, "n long, m binary").rdd
+    n, m = each.map(lambda r: (r.n, np.frombuffer(bytes(r.m)).reshape(-1, width))).treeAggregate(none, merged, merged)
+    least, most, m = m[0, 1:], m[1, 1:], m[2:]
+    if n <= width:
+        return n, m[:, 1:].tolist()
+    mean, off = m[0, 1:] / m[0, 0], m[1:, 1:] * np.sqrt((width - 1) / n)
+    mean, off = np.where(least == most, least, mean), np.where(least == most, 0.0, off)
+    return n, np.vstack([mean + off, mean - off]).tolist()
+
+
 class _Described(Params):
     """What both the estimator and its model know."""
 
@@ -72,19 +120,26 @@ class MultiOutputRegressor(Estimator, _Described, MLWritable, MLReadable):
         kind, features, targets = self.getOrDefault("kind"), self.getOrDefault("features"), self.getOrDefault("targets")
         settings = json.loads(self.getOrDefault("settings"))
         spark = dataset.sparkSession
-        path = scratch_path(spark, "training")
-        drop_any_null(dataset.select(*dict.fromkeys([*features, *targets]))).write.parquet(path)
-        rows = spark.read.parquet(path)
+        complete = drop_any_null(dataset.select(*dict.fromkeys([*features, *targets])))
 
-        def one(t):
-            stages = [VectorAssembler(inputCols=features, outputCol=FEATURES_COL), estimator(kind, t, f"pred_{t}", **settings)]
-            return Pipeline(stages=stages).fit(rows)
+        def fitted(rows):
+            def one(t):
+                stages = [VectorAssembler(inputCols=features, outputCol=FEATURES_COL), estimator(kind, t, f"pred_{t}", **settings)]
+                return Pipeline(stages=stages).fit(rows)
 
-        with ThreadPoolExecutor(max_workers=max(1, self.parallel)) as pool:
-            fitted = dict(zip(targets, pool.map(one, targets), strict=True))
-        samples = rows.count()
+            with ThreadPoolExecutor(max_workers=max(1, self.parallel)) as pool:
+                return dict(zip(targets, pool.map(one, targets), strict=True))
+
+        if kind == "linear" and settings.get("solver", "normal") == "normal" and all(isinstance(f.dataType, (NumericType, BooleanType)) for f in complete.schema):
+            samples, few = moment_rows(complete, complete.columns)
+            if all(math.isfinite(x) for row in few for x in row):  # else MLlib decides what infinite values come to
+                schema = ", ".join(f"`{c}` double" for c in complete.columns)
+                return self._copyValues(MultiOutputModel(fitted(spark.createDataFrame(few, schema).coalesce(1)), samples))
+        path = scratch_path(spark, "training")
+        complete.write.parquet(path)
+        rows = spark.read.parquet(path)
+        model = MultiOutputModel(fitted(rows), rows.count())
         delete(spark, path)
-        model = MultiOutputModel(fitted, samples)
         return self._copyValues(model)
 
     def write(self) -> MLWriter:

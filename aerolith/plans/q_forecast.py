@@ -49,6 +49,21 @@ def inputs(spark, sf_dir):
     return FC.history_tail(features.build_features(air, weather, strategy="auto")), joins.anti_join_time(weather, air, ["station"])
 
 
+def inputs_of(table, air, weather, as_of):
+    """``inputs`` from the feature table of all hours and the air and weather that it was built from.
+
+    Features look back only, so the table's rows before the forecast time are those of the air readings before it.  Stations with readings without a
+    time are built again: these come first in a station and fill its first gaps, but no forecast has them.
+    """
+    columns = ["station", "time", *POLLUTANTS]
+    history, past = fx.air_before(table, as_of).select(*columns), fx.air_before(air, as_of)
+    undated = air.where("time IS NULL").select("station").distinct()
+    if not undated.isEmpty():
+        own = [t.join(undated, "station", "left_semi") for t in (past, weather)]
+        history = history.join(undated, "station", "left_anti").unionByName(features.build_features(*own, strategy="auto").select(*columns))
+    return FC.history_tail(history), joins.anti_join_time(weather, past, ["station"])
+
+
 @query("history_tail", sql=f"""{S.features_ctes(_HIST, forecast=True)}
 SELECT station, time, {S.rounded_select(POLLUTANTS, [])} FROM hist""")
 def history_tail(spark, sf_dir):

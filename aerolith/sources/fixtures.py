@@ -129,6 +129,11 @@ def _weather(hourly: DataFrame) -> DataFrame:
     return hourly.select("station", "time", *WEATHER_RAW_COLUMNS)
 
 
+def air_before(air: DataFrame, before: datetime) -> DataFrame:
+    """Of an air table without an end, the one that ends at ``before``, a full hour."""
+    return air.where(F.col("time") < ntz_lit(before))
+
+
 def air(spark: SparkSession, sf_dir: str, before: datetime | None = None) -> DataFrame:
     """Hourly pollutant readings per station (up to ``before``, if given)."""
     return _air(hourly_readings(spark, sf_dir, before))

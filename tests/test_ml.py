@@ -174,3 +174,44 @@ def test_sampled_attribution_tends_to_the_exact_one(spark):
         assert got[row["id"], "c"].contribution == 0
     with pytest.raises(ValueError):
         shapley.sampled_shapley(df, score, ["a", "b", "c"], ["y"], keep=["id"], background=df.where("false"))
+
+
+def test_linear_fits_of_all_targets_share_one_pass(spark, monkeypatch):
+    """Each target is fitted on few rows with the moments of all; the models are MLlib's on the rows themselves."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 3)) * [1.0, 40.0, 1e-3] + [0.0, 1000.0, 5.0]
+    y = x @ rng.normal(size=(3, 5)) + rng.normal(size=(3000, 5)) + 7
+    columns = ["a", "b", "c", "fixed", *POLLUTANTS]
+    df = spark.createDataFrame([(*map(float, p), 0.1, *map(float, q)) for p, q in zip(x, y, strict=True)], ", ".join(f"{c} double" for c in columns)).repartition(7)
+    seen = []
+
+    class Counted(models.Pipeline):
+        def _fit(self, dataset):
+            seen.append(dataset.count())
+            return super()._fit(dataset)
+
+    def both(rows, **settings):
+        monkeypatch.setattr(models, "Pipeline", Counted)
+        coefs, inter = models.linear_coefficients(models.fit(rows, "linear", columns[:3], **settings))
+        monkeypatch.undo()
+        for t in POLLUTANTS:
+            stages = [models.VectorAssembler(inputCols=columns[:3], outputCol=models.FEATURES_COL), models.estimator("linear", t, f"pred_{t}", **settings)]
+            want = models.Pipeline(stages=stages).fit(rows).stages[-1]
+            assert np.allclose([coefs[t][f] for f in columns[:3]], want.coefficients.toArray(), rtol=1e-5) and np.isclose(inter[t], want.intercept, rtol=1e-5)
+
+    both(df)
+    assert len(seen) == 5 and max(seen) <= 2 * len(columns)
+    both(df, regParam=0.3)
+    both(spark.createDataFrame(df.take(9), df.schema))  # not more rows than columns and one: the rows themselves
+    assert seen[-1] == 9
+    n, rows = models.moment_rows(df, columns)
+    got, want = np.array(rows), df.toPandas()[columns].to_numpy()
+    assert n == 3000 and np.allclose(got.mean(0), want.mean(0), rtol=1e-12) and np.allclose(np.cov(got.T, bias=True), np.cov(want.T, bias=True), rtol=1e-9, atol=1e-11)
+    assert set(got[:, 3]) == {0.1} and models.moment_rows(df.where("a > 100"), columns) == (0, [])
+
+
+def test_infinite_values_are_left_to_mllib(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i), 2.0 * i) for i in range(50)] + [(float("inf"), 1.0)], "x double, y double")
+    seen = []
+    monkeypatch.setattr(models.Pipeline, "_fit", lambda self, rows: seen.append(rows.count()) or models.PipelineModel([]))
+    assert models.fit(df, "linear", ["x"], ["y"]).samples == 51 and seen == [51]

@@ -4,11 +4,15 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from aerolith.config import POLLUTANTS
 from aerolith.operators import evaluation as E
+from aerolith.operators import features, stats, windows
 from aerolith.operators import forecast as FC
-from aerolith.operators import stats, windows
+from aerolith.plans import q_forecast as QF
+from aerolith.sources import fixtures as fx
 
 T0 = datetime(2024, 1, 1)
 
@@ -121,3 +125,45 @@ def test_corr_constant_is_nan(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 1.0), (3.0, 1.0)], "a double, b double")
     r = stats.corr_matrix(df, ["a", "b"]).where((F.col("a") == "a") & (F.col("b") == "b")).collect()[0]["r"]
     assert r != r  # NaN
+
+
+def _forecast_events(spark, tmp_dir, undated):
+    """Events of seven days; station 1 starts 40 hours before the forecast time, has no ``error`` but in the last six of them, and events without a time."""
+    import random
+
+    rng, rows, kinds = random.Random(4), [], list(fx.TYPE_TO_POLLUTANT)
+    end = T0 + timedelta(days=4)
+    for s in (0, 1, 2, None):
+        for h in range(24 * 7):
+            t = T0 + timedelta(hours=h)
+            if s == 1 and t < end - timedelta(hours=40) or rng.random() < 0.1:
+                continue
+            some = [k for k in kinds if rng.random() < 0.7 and not (s == 1 and k == "error" and t < end - timedelta(hours=6))]
+            rows += [(t + timedelta(minutes=rng.randrange(60)), s, k, rng.randrange(5000) / 100, f'{{"k": {rng.randrange(90)}}}') for k in some]
+    rows += [(None, 1, k, 3.0, '{"k": 5}') for k in kinds] * undated
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    df.write.parquet(f"{tmp_dir}/events.parquet")
+    return tmp_dir
+
+
+@pytest.mark.parametrize("undated", [0, 1])
+def test_forecast_inputs_of_the_table_of_all_hours(spark, tmp_dir, undated):
+    d = _forecast_events(spark, tmp_dir, undated)
+    air, weather = fx.landed(spark, d)
+    table = features.build_features(air, weather, strategy="auto")
+    history, future = QF.inputs_of(table, air, weather, fx.as_of(spark, d))
+    want_history, want_future = QF.inputs(spark, d)
+    sorted_rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    got = sorted_rows(history.select("station", "time", *POLLUTANTS))
+    assert got == sorted_rows(want_history.select("station", "time", *POLLUTANTS)) and {r[0] for r in got} == {0, 2}
+    assert sorted_rows(future) == sorted_rows(want_future) and len(sorted_rows(future)) > 100
+    assert table.where(F.col("station") == 1).where(F.col("time") < fx.as_of(spark, d)).isEmpty() == (not undated)
+
+
+def test_forecast_builds_its_features_once(spark, tmp_dir, monkeypatch):
+    from aerolith.plans import queries
+
+    d, calls, build = _forecast_events(spark, tmp_dir, 0), [], features.build_features
+    monkeypatch.setattr(features, "build_features", lambda *a, **b: calls.append(a) or build(*a, **b))
+    out = queries()["forecast"](spark, d)
+    assert len(calls) == 1 and out.count() == QF.inputs(spark, d)[1].count()
